@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from fundlake.schemas import MISSING_TOKENS
 
-# Spark's own cast also takes Java suffixes ("12d"), which are not numbers here.
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?([iI][nN][fF]|[iI][nN][fF][iI][nN][iI][tT][yY])$"
+# A number between optional white space. Spark's own cast also takes Java suffixes
+# ("12d"), which are not numbers here.
+_NUMBER = (
+    r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|[+-]?(?i:inf|infinity))\s*$"
+)
 
 
 def _col(c: Column | str) -> Column:
@@ -40,9 +43,11 @@ def strip_headers(df: DataFrame) -> DataFrame:
 
 
 def lenient_double(c: Column | str) -> Column:
-    """A number, or NULL when the text is not one (NaN counts as not one)."""
-    text = strip(c)
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    """A number, or NULL when the text is not one (NaN counts as not one).
+
+    The input is referred to once, so stacked projections stay small when merged.
+    """
+    return F.regexp_extract(_col(c).cast("string"), _NUMBER, 1).try_cast("double")
 
 
 def lenient_long(c: Column | str) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +52,7 @@ def profile_table(name: str, raw: DataFrame) -> DataFrame:
 
 def profile(spark: SparkSession, tables: Mapping[str, DataFrame], failures: Mapping[str, str] | None = None) -> DataFrame:
     """Profiles of all tables; tables that could not be read appear with their error."""
-    failed = [(name, None, None, None, None, None, None, None, reason) for name, reason in (failures or {}).items()]
+    failed = [(name, *[None] * 7, reason) for name, reason in (failures or {}).items()]
     report = spark.createDataFrame(failed, PROFILE_SCHEMA)
     for name, raw in tables.items():
         report = report.unionByName(profile_table(name, raw))
@@ -59,16 +60,19 @@ def profile(spark: SparkSession, tables: Mapping[str, DataFrame], failures: Mapp
 
 
 def profile_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """Profile every CSV of a folder; a file that fails while being read is recorded.
+
+    Each profile is computed once and its rows (one per column) are kept.
+    """
     tables, failures = scan_folder(spark, folder)
-    readable = {}
+    rows = []
     for name, table in tables.items():
         try:
-            profile_table(name, table).collect()
-        except Exception as problem:
+            rows += [tuple(row) for row in profile_table(name, table).collect()]
+        except PySparkException as problem:
             failures[name] = str(problem).splitlines()[0]
-        else:
-            readable[name] = table
-    return profile(spark, readable, failures)
+    rows += [(name, *[None] * 7, reason) for name, reason in failures.items()]
+    return spark.createDataFrame(rows, PROFILE_SCHEMA)
 
 
 def inventory(report: DataFrame) -> DataFrame:

@@ -213,23 +213,23 @@ def return_correlation(nav: DataFrame, selected: DataFrame, k: int) -> DataFrame
     """Correlation of daily returns between ``k`` chosen funds.
 
     ``selected`` has ``(amfi_code, slot)`` with slots 1..k. Returns are laid out in
-    k columns per day, days where any fund is missing are dropped, and all pairs
-    are aggregated in one pass: rows are never joined to rows.
+    k columns per day and days where any fund is missing are dropped. Each day then
+    gives one row per fund holding its own return beside all k: k rows a day, never
+    one per pair.
     """
+    slots = range(1, k + 1)
     chosen = nav.join(F.broadcast(selected), "amfi_code")
     daily = chosen.withColumn("r", change("nav", "amfi_code"))
     wide = daily.groupBy("date").agg(*[
-        F.max(F.when(F.col("slot") == i, F.col("r"))).alias(f"r{i}") for i in range(1, k + 1)
+        F.max(F.when(F.col("slot") == i, F.col("r"))).alias(f"r{i}") for i in slots
     ]).dropna()
-    pairs = [(i, j) for i in range(1, k + 1) for j in range(i, k + 1)]
-    cells = F.array(*[
-        F.struct(F.lit(a).alias("slot_a"), F.lit(b).alias("slot_b"), F.col(f"c{min(a, b)}_{max(a, b)}").alias("correlation"))
-        for a in range(1, k + 1) for b in range(1, k + 1)
-    ])
-    matrix = wide.agg(*[F.corr(f"r{i}", f"r{j}").alias(f"c{i}_{j}") for i, j in pairs]).select(F.inline(cells))
+    own = F.array(*[F.struct(F.lit(i).alias("slot_a"), F.col(f"r{i}").alias("own")) for i in slots])
+    against = wide.select(F.inline(own), *[f"r{i}" for i in slots])
+    matrix = against.groupBy("slot_a").agg(*[F.corr("own", f"r{i}").alias(f"c{i}") for i in slots])
+    cells = F.array(*[F.struct(F.lit(i).alias("slot_b"), F.col(f"c{i}").alias("correlation")) for i in slots])
     names = selected.select("slot", "amfi_code")
     return (
-        matrix
+        matrix.select("slot_a", F.inline(cells))
         .join(F.broadcast(names.toDF("slot_a", "code_a")), "slot_a")
         .join(F.broadcast(names.toDF("slot_b", "code_b")), "slot_b")
         .select("slot_a", "slot_b", "code_a", "code_b", "correlation")
