@@ -10,9 +10,17 @@ from pyspark.sql import functions as F
 from fundlake.schemas import MISSING_TOKENS
 
 # A number between optional white space. Spark's own cast also takes Java suffixes
-# ("12d"), which are not numbers here.
-_NUMBER = (
-    r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|[+-]?(?i:inf|infinity))\s*$"
+# ("12d"), which are not numbers here. Testing first also keeps bad text away from
+# the cast, where it would cost an exception per row.
+_NUMBER = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+_WHOLE = r"^\s*[+-]?\d+\s*$"
+_ISO_DAY = r"^\d{4}-\d{2}-\d{2}$"
+_ISO_MONTH = r"^\d{4}-\d{2}$"
+
+# --- fixed values: every character that counts as white space -------------------
+_BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
 
@@ -22,7 +30,7 @@ def _col(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Drop leading and trailing white space of every kind, not only blanks."""
-    return F.regexp_replace(_col(c).cast("string"), r"^\s+|\s+$", "")
+    return F.btrim(_col(c).cast("string"), F.lit(_BLANKS))
 
 
 def missing_to_null(c: Column | str) -> Column:
@@ -43,16 +51,23 @@ def strip_headers(df: DataFrame) -> DataFrame:
 
 
 def lenient_double(c: Column | str) -> Column:
-    """A number, or NULL when the text is not one (NaN counts as not one).
+    """A number, or NULL when the text is not one (NaN counts as not one)."""
+    text = _col(c).cast("string")
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
-    The input is referred to once, so stacked projections stay small when merged.
-    """
-    return F.regexp_extract(_col(c).cast("string"), _NUMBER, 1).try_cast("double")
+
+def is_number(c: Column | str) -> Column:
+    return _col(c).cast("string").rlike(_NUMBER)
+
+
+def is_whole_number(c: Column | str) -> Column:
+    return _col(c).cast("string").rlike(_WHOLE)
 
 
 def lenient_long(c: Column | str) -> Column:
     """Parse leniently, then cut the fraction off; whole numbers stay exact."""
-    return F.coalesce(strip(c).try_cast("long"), lenient_double(c).cast("long"))
+    text = _col(c).cast("string")
+    return F.when(text.rlike(_WHOLE), text.try_cast("long")).otherwise(lenient_double(text).cast("long"))
 
 
 def strict_long(c: Column | str) -> Column:
@@ -62,13 +77,19 @@ def strict_long(c: Column | str) -> Column:
     return F.when(value.isNotNull(), value).otherwise(F.raise_error(message).cast("long"))
 
 
-def iso_date(c: Column | str, pattern: str = "yyyy-MM-dd") -> Column:
+def iso_date(c: Column | str) -> Column:
+    """``yyyy-MM-dd`` text as a date; any other text is NULL."""
+    return F.when(_col(c).rlike(_ISO_DAY), _col(c).try_cast("date"))
+
+
+def formatted_date(c: Column | str, pattern: str) -> Column:
+    """A date in another known format."""
     return F.try_to_date(_col(c), pattern)
 
 
 def month_start(c: Column | str) -> Column:
     """``yyyy-MM`` text as the first day of that month."""
-    return F.try_to_date(_col(c), "yyyy-MM")
+    return F.when(_col(c).rlike(_ISO_MONTH), F.concat(_col(c), F.lit("-01")).try_cast("date"))
 
 
 def month_text_to_date(c: Column | str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.functions.coerce import lenient_double, strip
+from fundlake.functions.coerce import is_number, is_whole_number
 from fundlake.operators.aggregates import surplus_rows
 from fundlake.operators.dedup import distinct_values
 from fundlake.operators.sets import reconcile_keys
@@ -33,8 +33,8 @@ def profile_table(name: str, raw: DataFrame) -> DataFrame:
         value = F.col(f"`{c}`")
         return F.struct(
             F.lit(c).alias("column"), F.lit(at).alias("position"), F.count_if(value.isNull()).alias("nulls"),
-            F.count_if(value.isNotNull() & strip(value).try_cast("long").isNull()).alias("not_whole"),
-            F.count_if(value.isNotNull() & lenient_double(value).isNull()).alias("not_number"),
+            F.count_if(~is_whole_number(value)).alias("not_whole"),
+            F.count_if(~is_number(value)).alias("not_number"),
         )
 
     one = data.agg(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fundlake.functions.coerce import iso_date, iso_text, lenient_double, month_text, nulls_for_tokens, strip_headers
+from fundlake.functions.coerce import formatted_date, iso_date, iso_text, lenient_double, month_text, nulls_for_tokens, strip_headers
 
 PAYLOAD_SCHEMA = "meta STRUCT<scheme_code: BIGINT, scheme_name: STRING>, data ARRAY<STRUCT<date: STRING, nav: STRING>>"
 
@@ -79,7 +79,7 @@ def payload_rows(documents: DataFrame, body: str = "body", pattern: str = "dd-MM
     """Rows of price payloads ``{meta, data: [{date, nav}]}`` held as text."""
     parsed = documents.select(F.from_json(F.col(body), PAYLOAD_SCHEMA).alias("p"))
     rows = parsed.select(F.col("p.meta.scheme_code").alias("scheme_code"), F.inline("p.data"))
-    return rows.select("scheme_code", iso_date("date", pattern).alias("date"), lenient_double("nav").alias("nav"))
+    return rows.select("scheme_code", formatted_date("date", pattern).alias("date"), lenient_double("nav").alias("nav"))
 
 
 def payload_status(documents: DataFrame, body: str = "body") -> DataFrame:
