@@ -44,13 +44,19 @@ def regression(y: Column, x: Column, least: int = MIN_REGRESSION_ROWS) -> Mappin
     }
 
 
+def beside(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Add the columns of a one-row table to every row, as a scalar subquery."""
+    row = one_row.select(F.struct(*one_row.columns)).scalar()
+    return df.withColumn("__row", row).select(*df.columns, *[F.col(f"__row.{c}").alias(c) for c in one_row.columns])
+
+
 def distribution(df: DataFrame, value: str, points: Mapping[str, float]) -> DataFrame:
     """Count, mean, deviation, extremes and exact quantiles of one column."""
     basics = df.agg(
         F.count(value).alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
         F.min(value).alias("min"), F.max(value).alias("max"),
     )
-    return basics.join(F.broadcast(exact_quantiles(df, value, points)))
+    return beside(basics, exact_quantiles(df, value, points))
 
 
 def null_counts(df: DataFrame) -> DataFrame:

@@ -135,8 +135,5 @@ def lowest(df: DataFrame, value: str, date: str = "date") -> DataFrame:
 
 def highest(df: DataFrame, label: str, value: str) -> DataFrame:
     """The label with the largest value, the first label on ties."""
-    top = df.where(F.col(value).isNotNull()).agg(F.max(value).alias("top_value"))
-    return (
-        df.join(F.broadcast(top), F.col(value) == F.col("top_value"))
-        .groupBy(value).agg(F.min(label).alias(label)).select(label, value)
-    )
+    top = df.select(F.max(value)).scalar()
+    return df.where(F.col(value) == top).groupBy(value).agg(F.min(label).alias(label)).select(label, value)

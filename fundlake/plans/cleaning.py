@@ -29,6 +29,7 @@ from fundlake.functions.coerce import (
     strip,
 )
 from fundlake.functions.rules import anomaly_flags, expense_in_range
+from fundlake.operators.aggregates import beside
 from fundlake.operators.dedup import distinct_rows, keep_last
 from fundlake.operators.series import fill_calendar
 from fundlake.sources.files import read_csv, write_csv
@@ -286,9 +287,8 @@ def run_one(spark: SparkSession, dataset: str, raw_folder: str, out_folder: str)
     raw = read_csv(spark, source, step.columns)
     write_csv(step.clean(raw).orderBy(*sort_columns(step)), target, step.dates, step.months)
     written = read_csv(spark, target, step.output)
-    return raw.agg(F.count("*").alias("raw_rows")).join(
-        F.broadcast(written.agg(F.count("*").alias("clean_rows")))
-    ).select(F.lit(dataset).alias("dataset"), "raw_rows", "clean_rows")
+    counts = beside(raw.agg(F.count("*").alias("raw_rows")), written.agg(F.count("*").alias("clean_rows")))
+    return counts.select(F.lit(dataset).alias("dataset"), "raw_rows", "clean_rows")
 
 
 def run_all(spark: SparkSession, raw_folder: str, out_folder: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlake.functions.coerce import is_number, is_whole_number
-from fundlake.operators.aggregates import surplus_rows
+from fundlake.operators.aggregates import beside, surplus_rows
 from fundlake.operators.dedup import distinct_values
 from fundlake.operators.sets import reconcile_keys
 from fundlake.sources.files import scan_folder
@@ -42,7 +42,7 @@ def profile_table(name: str, raw: DataFrame) -> DataFrame:
     dtype = (
         F.when((F.col("not_whole") == 0) & (F.col("nulls") == 0), "int64")
         .when(F.col("not_number") == 0, "float64").otherwise("str"))
-    tidy = one.select("rows", F.inline("c")).join(F.broadcast(surplus_rows(data)))
+    tidy = beside(one.select("rows", F.inline("c")), surplus_rows(data))
     notes = F.concat_ws(
         "; ", F.when(F.col("duplicate_rows") > 0, "duplicate rows"), F.when(F.col("nulls") > 0, "missing values"))
     return tidy.select(
@@ -111,7 +111,7 @@ def quality_summary(spark: SparkSession, tables: Mapping[str, DataFrame], master
     keys = reconcile(tables[master], tables[prices]).agg(
         F.count_if(F.col("side") == "missing").alias("missing_codes"),
         F.count_if(F.col("side") == "extra").alias("extra_codes"))
-    return facts.join(F.broadcast(keys))
+    return beside(facts, keys)
 
 
 def report_lines(report: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fundlake import schemas as S
 from fundlake.functions.calendar import years_before
 from fundlake.functions.rules import series_label
+from fundlake.operators.aggregates import beside
 from fundlake.operators.ranking import min_ranks, row_numbers
 from fundlake.operators.series import rebase_to_own_start
 from fundlake.session import cut_lineage
@@ -88,7 +89,7 @@ def run_summary(ranked: DataFrame, daily: DataFrame) -> DataFrame:
         F.count_if(F.col("daily_return").isNull()).alias("missing_first_return_rows"),
         F.min("date").alias("date_min"), F.max("date").alias("date_max"),
     )
-    return funds.join(F.broadcast(rows)).select(
+    return beside(funds, rows).select(
         "fund_count", "daily_return_rows", "missing_first_return_rows", "date_min", "date_max",
         F.col("best.scheme_name").alias("top_fund"), F.round("best.fund_score", 4).alias("top_fund_score"),
         "cagr_5y_available_funds",

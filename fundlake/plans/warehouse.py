@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from fundlake import schemas as S
 from fundlake.functions.calendar import calendar_columns, date_key
 from fundlake.functions.coerce import empty_to_null
+from fundlake.operators.aggregates import beside
 from fundlake.operators.constraints import TableRules, violations
 from fundlake.operators.dedup import distinct_dates
 from fundlake.operators.ranking import row_numbers
@@ -125,8 +126,7 @@ def compare_row_counts(sources: Mapping[str, DataFrame], tables: Mapping[str, Da
     """``(table_name, source_rows, table_rows, status)``."""
     report = None
     for name, source in sources.items():
-        row = source.agg(F.count("*").alias("source_rows")).join(
-            F.broadcast(tables[name].agg(F.count("*").alias("table_rows"))))
+        row = beside(source.agg(F.count("*").alias("source_rows")), tables[name].agg(F.count("*").alias("table_rows")))
         row = row.select(
             F.lit(name).alias("table_name"), "source_rows", "table_rows",
             F.when(F.col("source_rows") == F.col("table_rows"), "OK").otherwise("MISMATCH").alias("status"))

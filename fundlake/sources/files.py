@@ -7,7 +7,6 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fundlake.functions.coerce import formatted_date, iso_date, iso_text, lenient_double, month_text, nulls_for_tokens, strip_headers
 
@@ -15,16 +14,14 @@ PAYLOAD_SCHEMA = "meta STRUCT<scheme_code: BIGINT, scheme_name: STRING>, data AR
 
 
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """All columns as text with NULL for missing tokens, plus ``ingest_seq``.
+    """Columns as text with NULL for missing tokens, plus ``ingest_seq``.
 
-    ``ingest_seq`` orders rows as they lie in the files: file, then block, then
+    Names come from the header; ``columns`` selects by name, so the order in the
+    file does not matter. ``ingest_seq`` orders rows as they lie in the files: file, then block, then
     position inside the block. Types are given later, by explicit rules, so no
     inference pass over the data is needed.
     """
-    reader = spark.read.option("header", True).option("mode", "FAILFAST").option("escape", '"')
-    if columns:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    raw = reader.csv(path)
+    raw = spark.read.option("header", True).option("mode", "FAILFAST").option("escape", '"').csv(path)
     names = raw.columns
     placed = raw.select(
         *[F.col(f"`{name}`") for name in names],
@@ -34,7 +31,8 @@ def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = Non
             F.monotonically_increasing_id().alias("row"),
         ).alias("ingest_seq"),
     )
-    return nulls_for_tokens(strip_headers(placed))
+    named = strip_headers(placed)
+    return nulls_for_tokens(named.select(*columns, "ingest_seq") if columns else named)
 
 
 def read_csv_with_dates(
@@ -127,8 +125,12 @@ def _csv_writer(df: DataFrame):
 
 
 def write_per_scheme(df: DataFrame, path: str, scheme: str = "scheme_name") -> None:
-    """One folder per scheme, replaced as a whole."""
-    _csv_writer(df).partitionBy(scheme).csv(path)
+    """One folder per scheme, replaced as a whole.
+
+    Rebalancing brings a scheme's rows together so that few files are written, and
+    splits a scheme that is too large for one task.
+    """
+    _csv_writer(df.hint("rebalance", scheme)).partitionBy(scheme).csv(path)
 
 
 def write_table(df: DataFrame, path: str) -> None:
