@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,7 +70,7 @@ def profile_folder(spark: SparkSession, folder: str) -> DataFrame:
     for name, table in tables.items():
         try:
             rows += [tuple(row) for row in profile_table(name, table).collect()]
-        except PySparkException as problem:
+        except (PySparkException, Py4JError) as problem:
             failures[name] = str(problem).splitlines()[0]
     rows += [(name, *[None] * 7, reason) for name, reason in failures.items()]
     return spark.createDataFrame(rows, PROFILE_SCHEMA)

@@ -73,11 +73,14 @@ def scan_folder(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame],
     return tables, failures
 
 
+def _entries(parsed: DataFrame, pattern: str) -> DataFrame:
+    rows = parsed.select(F.col("meta.scheme_code").alias("scheme_code"), F.inline("data"))
+    return rows.select("scheme_code", formatted_date("date", pattern).alias("date"), lenient_double("nav").alias("nav"))
+
+
 def payload_rows(documents: DataFrame, body: str = "body", pattern: str = "dd-MM-yyyy") -> DataFrame:
     """Rows of price payloads ``{meta, data: [{date, nav}]}`` held as text."""
-    parsed = documents.select(F.from_json(F.col(body), PAYLOAD_SCHEMA).alias("p"))
-    rows = parsed.select(F.col("p.meta.scheme_code").alias("scheme_code"), F.inline("p.data"))
-    return rows.select("scheme_code", formatted_date("date", pattern).alias("date"), lenient_double("nav").alias("nav"))
+    return _entries(documents.select(F.from_json(F.col(body), PAYLOAD_SCHEMA).alias("p")).select("p.*"), pattern)
 
 
 def payload_status(documents: DataFrame, body: str = "body") -> DataFrame:
@@ -92,8 +95,7 @@ def payload_status(documents: DataFrame, body: str = "body") -> DataFrame:
 
 def read_payloads(spark: SparkSession, landing: str, pattern: str = "dd-MM-yyyy") -> DataFrame:
     """Landed payload files, one JSON document each."""
-    documents = spark.read.option("wholetext", True).text(landing).withColumnRenamed("value", "body")
-    return payload_rows(documents, pattern=pattern)
+    return _entries(spark.read.schema(PAYLOAD_SCHEMA).option("multiLine", True).json(landing), pattern)
 
 
 def tag_schemes(rows: DataFrame, schemes: Mapping[str, int]) -> DataFrame:
