@@ -82,11 +82,11 @@ def _payload_files(t: Tables) -> DataFrame:
     landing = scratch_path(t.spark, "landing")
     files.write_text(_payloads(t).repartition("body"), landing)
     rows = files.payload_rows(t.spark.read.text(landing).withColumnRenamed("value", "body"))
-    return files.tag_schemes(rows, {f"Scheme_{n}": n for n in range(0, 25, 2)})
+    return files.tag_schemes(rows, {f"Scheme_{n}": n for n in range(25)})
 
 
 check("s5_landed_payload_tagged", _payload_files, """
-SELECT amfi_code AS scheme_code, date, nav, 'Scheme_' || CAST(amfi_code AS VARCHAR) AS scheme_name FROM {x_nav} WHERE amfi_code % 2 = 0""")
+SELECT amfi_code AS scheme_code, date, nav, 'Scheme_' || CAST(amfi_code AS VARCHAR) AS scheme_name FROM {x_nav}""")
 
 
 def _csv_sink(t: Tables) -> DataFrame:

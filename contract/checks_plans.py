@@ -322,7 +322,7 @@ check("e2_average_indexed_nav", lambda t: explore.average_indexed_nav(t.x_nav),
 check("e3_equity_indexed_nav", lambda t: explore.category_indexed_nav(t.x_nav, t.x_funds, "Equity"), f"SELECT * FROM ({_CATEGORY_INDEXED}) c WHERE category = 'Equity'", {"indexed_nav": 8})
 check("e4_focus_window", lambda t: explore.focus_window(explore.average_indexed_nav(t.x_nav), *_WINDOW),
       "SELECT * FROM {x_avg_indexed} WHERE date BETWEEN DATE '1998-07-01' AND DATE '1998-12-31'", {"avg_indexed_nav": 8})
-check("e5_aum_by_year", lambda t: explore.aum_grid(t.x_aum, _YEARS), _GRID_SQL)
+check("e5_aum_by_year", lambda t: explore.aum_grid(t.x_aum), _GRID_SQL)
 check("e6_latest_aum_share", lambda t: explore.latest_aum_share(t.x_aum), """
 SELECT fund_house, aum_lakh_crore, 100 * aum_lakh_crore / sum(aum_lakh_crore) OVER () AS share_pct FROM {x_year_aum} WHERE year = (SELECT max(year) FROM {x_year_aum})""", ["share_pct"])
 check("e7_sip_trend", lambda t: explore.sip_trend(t.x_sip), "SELECT month, sip_inflow_crore FROM {x_sip}")
@@ -332,7 +332,7 @@ SELECT label, marker_date, month, sip_inflow_crore FROM (
   SELECT m.label, m.d AS marker_date, s.month, s.sip_inflow_crore, row_number() OVER (PARTITION BY m.label ORDER BY abs(date_diff('day', m.d, s.month)), s.month) AS pos
   FROM (VALUES ('peak', DATE '1999-12-01'), ('early', DATE '1996-01-20')) m(label, d) CROSS JOIN {x_sip} s) t WHERE pos = 1""")
 check("e8_active_accounts", lambda t: explore.active_accounts(t.x_sip), "SELECT month, active_sip_accounts_crore FROM {x_sip}")
-check("e9_category_matrix", lambda t: explore.category_matrix(t.x_category, _MONTHS).drop("row_total"), f"SELECT category, {_MATRIX} FROM {{x_category}} GROUP BY category")
+check("e9_category_matrix", lambda t: explore.category_matrix(t.x_category).drop("row_total"), f"SELECT category, {_MATRIX} FROM {{x_category}} GROUP BY category")
 check("e10_age_groups", lambda t: explore.age_group_counts(t.x_txn).select("age_group", "n"), "SELECT age_group, count(*) AS n FROM {x_txn} WHERE age_group <> 'unknown' GROUP BY age_group")
 _BOX = ", ".join(f"quantile_cont(v, {p}) AS {n}" for n, p in explore.BOX_POINTS.items())
 check("e11_sip_amount_boxes", lambda t: explore.sip_amount_boxes(t.x_txn), f"""

@@ -26,8 +26,8 @@ def _fund_map(t: Tables) -> DataFrame:
 check("j1_nav_fund_map", lambda t: warehouse.fact_nav(t.x_nav, _fund_map(t)), "SELECT * FROM {s_fact_nav}")
 check("j2_transaction_fund_map", lambda t: warehouse.fact_transactions(t.x_txn, _fund_map(t)).drop("transaction_key"), "SELECT * FROM {s_fact_txn}")
 check("j3_performance_fund_map", lambda t: warehouse.fact_performance(t.x_flagged, _fund_map(t)), "SELECT * FROM {s_fact_perf}")
-check("j4_nav_metadata", lambda t: t.x_nav_raw.join(t.x_funds.where(C("amfi_code") != 3).select("amfi_code", "scheme_name"), "amfi_code", "left"),
-      "SELECT n.amfi_code, n.date, n.nav, f.scheme_name FROM {x_nav_raw} n LEFT JOIN (SELECT * FROM {x_funds} WHERE amfi_code <> 3) f USING (amfi_code)")
+check("j4_nav_metadata", lambda t: t.x_nav_raw.join(t.x_funds.where(C("category") != "Hybrid").select("amfi_code", "scheme_name"), "amfi_code", "left"),
+      "SELECT n.amfi_code, n.date, n.nav, f.scheme_name FROM {x_nav_raw} n LEFT JOIN (SELECT * FROM {x_funds} WHERE category <> 'Hybrid') f USING (amfi_code)")
 
 
 def _matched(t: Tables) -> DataFrame:
@@ -191,9 +191,9 @@ check("l8_head", lambda t: t.x_funds.select("amfi_code", "scheme_name").orderBy(
 # --- U: set operations -----------------------------------------------------------------
 check("u1_union_all", lambda t: t.x_nav_raw.select("date").unionByName(t.x_index.select("date")).unionByName(t.x_txn.select(C("transaction_date").alias("date"))).groupBy("date").agg(F.count("*").alias("n")),
       "SELECT date, count(*) AS n FROM (SELECT date FROM {x_nav_raw} UNION ALL SELECT date FROM {x_index} UNION ALL SELECT transaction_date FROM {x_txn}) u GROUP BY date")
-check("u2_key_reconciliation", lambda t: sets.reconcile_keys(t.supplier.withColumnRenamed("s_suppkey", "code"), t.customer.withColumnRenamed("c_custkey", "code").where("code % 3 = 0"), "code"), """
-SELECT CAST(coalesce(s_suppkey, c_custkey) AS VARCHAR) AS code, CASE WHEN c_custkey IS NULL THEN 'missing' ELSE 'extra' END AS side
-FROM {supplier} FULL JOIN (SELECT c_custkey FROM {customer} WHERE c_custkey % 3 = 0) c ON s_suppkey = c_custkey WHERE s_suppkey IS NULL OR c_custkey IS NULL""")
+check("u2_key_reconciliation", lambda t: sets.reconcile_keys(t.r_funds, t.r_nav, "amfi_code"), """
+SELECT coalesce(m, o) AS code, CASE WHEN o IS NULL THEN 'missing' ELSE 'extra' END AS side
+FROM (SELECT DISTINCT amfi_code AS m FROM {r_funds}) a FULL JOIN (SELECT DISTINCT amfi_code AS o FROM {r_nav}) b ON m = o WHERE m IS NULL OR o IS NULL""")
 check("u3_subset_assertion", lambda t: sets.outside_allowed(t.x_txn, "transaction_type", S.TRANSACTION_TYPES[:2]),
       """SELECT 'transaction_type' AS "column", count(*) AS violations FROM {x_txn} WHERE transaction_type NOT IN ('SIP', 'Lumpsum')""")
 

@@ -130,7 +130,7 @@ SELECT make_date(year(odate), month(odate), 1) AS month,
   CAST(sum(CASE WHEN o_orderpriority = '2-HIGH' THEN 1 ELSE 0 END) AS DOUBLE) / 100 AS debt_folios_crore,
   CAST(sum(CASE WHEN o_orderpriority = '3-MEDIUM' THEN 1 ELSE 0 END) AS DOUBLE) / 100 AS hybrid_folios_crore,
   CAST(sum(CASE WHEN o_orderpriority > '4' THEN 1 ELSE 0 END) AS DOUBLE) / 100 AS others_folios_crore
-FROM {x_orders} WHERE month(odate) % 2 = 1 GROUP BY 1""",
+FROM {x_orders} GROUP BY 1""",
     "x_holdings": """
 SELECT l_suppkey AS amfi_code, p_type || '-' || CAST(p_size AS STRING) AS stock_symbol, p_brand AS sector,
   CAST(sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) / 100 AS weight_pct,
@@ -209,7 +209,7 @@ SELECT CAST(o_custkey AS STRING) AS investor_id,
   CAST(c_acctbal AS STRING) AS annual_income_lakh, o_orderpriority AS payment_mode,
   CASE WHEN o_orderkey % 19 = 0 THEN 'VERIFIED' WHEN c_acctbal < 0 THEN 'pending' ELSE ' Verified ' END AS kyc_status,
   o_orderkey AS ingest_seq
-FROM (SELECT * FROM {x_orders} UNION ALL SELECT * FROM {x_orders} WHERE o_orderkey % 17 = 0) d""",
+FROM (SELECT * FROM {x_orders} UNION ALL SELECT * FROM {x_orders}) twice""",
     "r_holdings": """
 SELECT CASE WHEN l_orderkey % 29 = 0 THEN '?' ELSE CAST(l_suppkey AS STRING) END AS amfi_code,
   ' ' || p_brand AS stock_symbol, p_name AS stock_name, p_type || ' ' AS sector,

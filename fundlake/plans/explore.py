@@ -58,8 +58,21 @@ def yearly_aum(aum: DataFrame) -> DataFrame:
     return latest_per_group(dated, ["year", "fund_house"], F.desc("date")).select("year", "fund_house", "aum_lakh_crore")
 
 
-def aum_grid(aum: DataFrame, years: Sequence[int]) -> DataFrame:
+def years_in(df: DataFrame, column: str) -> list[int]:
+    """The years of a date column, for use as pivot columns."""
+    found = df.where(F.col(column).isNotNull()).select(F.year(column).alias("y")).distinct()
+    return sorted(row.y for row in found.collect())
+
+
+def months_in(df: DataFrame, column: str) -> list[str]:
+    """The months of a date column as ``yyyy-MM``; at most twelve a year."""
+    found = df.where(F.col(column).isNotNull()).select(F.date_format(column, "yyyy-MM").alias("m")).distinct()
+    return sorted(row.m for row in found.collect())
+
+
+def aum_grid(aum: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
     """Fund house by year, absent snapshots 0, largest house of the last year first."""
+    years = years or years_in(aum, "date")
     snapshots = yearly_aum(aum)
     wide = snapshots.groupBy("fund_house").pivot("year", list(years)).agg(F.max("aum_lakh_crore")).fillna(0)
     latest = snapshots.where(F.col("year") == snapshots.select(F.max("year")).scalar()).select("fund_house")
@@ -86,8 +99,9 @@ def active_accounts(sip: DataFrame) -> DataFrame:
     return sip.select("month", "active_sip_accounts_crore").orderBy("month")
 
 
-def category_matrix(category: DataFrame, months: Sequence[str]) -> DataFrame:
+def category_matrix(category: DataFrame, months: Sequence[str] | None = None) -> DataFrame:
     """Category by month, absent cells 0, categories with the largest total first."""
+    months = months or months_in(category, "month")
     keyed = category.withColumn("__month", F.date_format("month", "yyyy-MM"))
     wide = pivot_sum(keyed, "category", "__month", "net_inflow_crore", months)
     return with_row_total(wide, months).orderBy(F.desc("row_total"), "category")
