@@ -378,7 +378,7 @@ def _findings(t: Tables) -> DataFrame:
     return explore.findings(t.x_aum, t.x_sip, t.x_category, t.x_txn, t.x_folio, t.x_nav, t.x_perf, t.x_holdings, t.x_funds, window=_WINDOW)
 
 
-check("e20_findings", _findings, _FINDINGS_SQL, ["value"])
+check("e20_findings", _findings, _FINDINGS_SQL, {"value": 4})
 
 
 def _findings_sink(t: Tables) -> DataFrame:
@@ -387,4 +387,4 @@ def _findings_sink(t: Tables) -> DataFrame:
     return files.read_table(t.spark, path)
 
 
-check("s13_findings_sink", _findings_sink, _FINDINGS_SQL, ["value"])
+check("s13_findings_sink", _findings_sink, _FINDINGS_SQL, {"value": 4})

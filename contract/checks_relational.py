@@ -104,8 +104,16 @@ check("a8_value_counts", lambda t: aggregates.value_counts(t.x_txn, "gender"), "
 check("a9_fixed_order_counts", lambda t: explore.age_group_counts(t.x_txn.where(C("age_group") != "36-45")), """
 SELECT age_group, count(*) AS n, CAST(CASE age_group WHEN '18-25' THEN 1 WHEN '26-35' THEN 2 WHEN '46-55' THEN 4 ELSE 5 END AS BIGINT) AS position
 FROM {x_txn} WHERE age_group IN ('18-25', '26-35', '46-55', '56+') GROUP BY age_group""")
-check("a10_mean_group_date", lambda t: t.x_nav.join(t.x_funds.select("amfi_code", "category"), "amfi_code").groupBy("date", "category").agg(F.avg("nav").alias("avg_nav")),
-      "SELECT n.date, f.category, avg(n.nav) AS avg_nav FROM {x_nav} n JOIN {x_funds} f USING (amfi_code) GROUP BY ALL", {"avg_nav": 11})
+# Prices cut to 1/1024 add up exactly in both engines, so these means need no rounding.
+_EXACT_NAV = "floor(nav * 1024) / 1024"
+
+
+def _exact_nav(t: Tables) -> DataFrame:
+    return t.x_nav.withColumn("nav", F.expr(_EXACT_NAV))
+
+
+check("a10_mean_group_date", lambda t: _exact_nav(t).join(t.x_funds.select("amfi_code", "category"), "amfi_code").groupBy("date", "category").agg(F.avg("nav").alias("avg_nav")),
+      f"SELECT n.date, f.category, avg({_EXACT_NAV}) AS avg_nav FROM {{x_nav}} n JOIN {{x_funds}} f USING (amfi_code) GROUP BY ALL")
 check("a11_cross_section_mean", lambda t: explore.average_indexed_nav(t.x_nav), "SELECT * FROM {x_avg_indexed}", {"avg_indexed_nav": 8})
 check("a12_sample_deviation", lambda t: t.x_returns.groupBy("amfi_code").agg(F.stddev_samp("daily_return").alias("sd")),
       "SELECT amfi_code, stddev_samp(daily_return) AS sd FROM {x_returns} GROUP BY amfi_code", {"sd": 9})
@@ -202,9 +210,8 @@ check("p1_pivot_unique", lambda t: reshape.pivot_unique(t.x_nav, "date", "amfi_c
       "SELECT date, " + ", ".join(f'max(nav) FILTER (amfi_code = {c}) AS "{c}"' for c in _CODES) + " FROM {x_nav} GROUP BY date")
 check("p2_pivot_sum_fill", lambda t: explore.category_matrix(t.x_category, _MONTHS).drop("row_total"),
       f"SELECT category, {_MATRIX} FROM {{x_category}} GROUP BY category")
-check("p3_pivot_mean", lambda t: reshape.pivot_mean(t.x_nav.join(t.x_funds.select("amfi_code", "category"), "amfi_code"), "date", "category", "nav", ["Debt", "Equity", "Hybrid"]),
-      "SELECT date, " + ", ".join(f"avg(nav) FILTER (category = '{c}') AS {c}" for c in ("Debt", "Equity", "Hybrid")) + " FROM {x_nav} JOIN {x_funds} USING (amfi_code) GROUP BY date",
-      {c: 11 for c in ("Debt", "Equity", "Hybrid")})
+check("p3_pivot_mean", lambda t: reshape.pivot_mean(_exact_nav(t).join(t.x_funds.select("amfi_code", "category"), "amfi_code"), "date", "category", "nav", ["Debt", "Equity", "Hybrid"]),
+      "SELECT date, " + ", ".join(f"avg({_EXACT_NAV}) FILTER (category = '{c}') AS {c}" for c in ("Debt", "Equity", "Hybrid")) + " FROM {x_nav} JOIN {x_funds} USING (amfi_code) GROUP BY date")
 _YEARS = list(range(1995, 2002))
 _GRID_SQL = "SELECT fund_house, " + ", ".join(f'coalesce(max(aum_lakh_crore) FILTER (year = {y}), 0) AS "{y}"' for y in _YEARS) + " FROM {x_year_aum} GROUP BY fund_house"
 check("p4_year_grid", lambda t: explore.aum_grid(t.x_aum, _YEARS), _GRID_SQL)
