@@ -16,7 +16,9 @@ _POSITION = "__position"
 
 
 def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    spec = Window.partitionBy(*keys).orderBy(*order)
+    # Led by one hash, the sort compares a number first and key texts only within a key.
+    lead = [F.xxhash64(*keys)] if len(keys) > 1 else []
+    spec = Window.partitionBy(*lead, *keys).orderBy(*order)
     return df.withColumn(_POSITION, F.row_number().over(spec)).where(F.col(_POSITION) == 1).drop(_POSITION)
 
 
