@@ -10,8 +10,8 @@ from contract.tables import Tables
 from fundlake import schemas as S
 from fundlake.functions import calendar as cal
 from fundlake.functions import coerce, rules
-from fundlake.operators import aggregates, dedup, series
-from fundlake.plans import cleaning, explore, quality, returns, scorecard
+from fundlake.operators import aggregates, dedup
+from fundlake.plans import cleaning, quality, scorecard
 from fundlake.session import scratch_path
 from fundlake.sources import files
 

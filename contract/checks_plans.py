@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contract.checks_basic import _SUMMARY_SQL, _raw_columns
-from contract.checks_relational import _GRID_SQL, _MATRIX, _MONTHS, _YEARS
+from contract.checks_basic import _SUMMARY_SQL
+from contract.checks_relational import _GRID_SQL, _MATRIX
 from contract.registry import check
 from contract.tables import Tables
 from fundlake import schemas as S
-from fundlake.functions import rules
 from fundlake.operators import series
 from fundlake.plans import cleaning, explore, quality, reporting, returns, scorecard, warehouse
 from fundlake.session import scratch_path

@@ -9,10 +9,9 @@ from pyspark.sql.window import Window
 from contract.registry import check
 from contract.tables import Tables
 from fundlake import schemas as S
-from fundlake.functions import calendar as cal
 from fundlake.functions import rules
-from fundlake.operators import aggregates, dedup, ranking, reshape, series, sets
-from fundlake.plans import explore, reporting, returns, warehouse
+from fundlake.operators import aggregates, ranking, reshape, series, sets
+from fundlake.plans import explore, returns, warehouse
 
 C = F.col
 _CODES = list(range(25))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlake.functions.coerce import formatted_date, iso_date, iso_text, lenient_double, month_text, nulls_for_tokens, strip_headers
+from fundlake.schemas import LIVE_SCHEMES
 
 PAYLOAD_SCHEMA = "meta STRUCT<scheme_code: BIGINT, scheme_name: STRING>, data ARRAY<STRUCT<date: STRING, nav: STRING>>"
 
@@ -98,7 +99,7 @@ def read_payloads(spark: SparkSession, landing: str, pattern: str = "dd-MM-yyyy"
     return _entries(spark.read.schema(PAYLOAD_SCHEMA).option("multiLine", True).json(landing), pattern)
 
 
-def tag_schemes(rows: DataFrame, schemes: Mapping[str, int]) -> DataFrame:
+def tag_schemes(rows: DataFrame, schemes: Mapping[str, int] = LIVE_SCHEMES) -> DataFrame:
     """Add the name under which each scheme code is pulled; other codes are left out."""
     names = F.create_map(*[F.lit(v) for name, code in schemes.items() for v in (int(code), name)])
     tagged = rows.withColumn("scheme_name", F.try_element_at(names, F.col("scheme_code").cast("int")))

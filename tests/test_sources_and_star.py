@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from fundlake.plans import explore, quality, reporting, warehouse
 from fundlake.session import scratch_path
