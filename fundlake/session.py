@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +14,7 @@ def build_session(app: str = "fundlake", master: str | None = None, **conf) -> S
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
@@ -24,16 +24,14 @@ def build_session(app: str = "fundlake", master: str | None = None, **conf) -> S
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder the cluster names; a private one only in local mode."""
+    """The folder named by ``spark.checkpoint.dir``; where that is unset, one in the warehouse.
+
+    Both are reachable by every executor. The choice is made once for a context.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured:
-            context.setCheckpointDir(configured)
-        elif context.master.startswith("local"):
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="fundlake-"))
-        else:
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
     return context.getCheckpointDir()
 
 
@@ -44,5 +42,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below this application's part of the shared folder."""
+    return f"{shared_folder(spark)}/scratch/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application put below ``scratch_path``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/scratch")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
