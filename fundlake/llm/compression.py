@@ -54,8 +54,8 @@ def word_statistics(block: Block) -> dict[str, np.ndarray]:
     n, data = len(block), block.data
     spans = words(block)
     inside = np.zeros(len(data) + 1, np.int32)
-    np.add.at(inside, spans.start, 1)
-    np.add.at(inside, spans.end, -1)
+    inside[spans.start] += 1
+    inside[spans.end] -= 1
     letters = (np.cumsum(inside[:-1]) > 0) & ((data & 0xC0) != 0x80)
     total = lambda flags: np.diff(np.concatenate(([0], np.cumsum(flags)))[block.offsets])
 

@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm import compression, decontaminate, neardup
+from fundlake.llm import compression, decontaminate, kdtree, language, mixing, neardup, ordinal, toxicity
+from fundlake.llm.labelled import crc_mod
+
+#: Domains of `labels` (quality and toxic as q*t*) and the shares of words wanted of them.
+DOMAIN_TARGETS = {"q1t0": 0.90, "q0t0": 0.06, "q1t1": 0.03, "q0t1": 0.01}
+N_SHARDS = 8
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,11 +23,55 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "item_id", "n_shared", "n_item")
 
 
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    samples = language.learn(docs.where(~F.coalesce(held_out, F.lit(False))).select("text", "lang"))
+    found = language.identify(docs, samples)
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op3_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").withColumn("text_crc32", F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+    assigned, n_shards = kdtree.assign(docs, n_shards=N_SHARDS)
+    narrow = assigned.select("doc_id", "text_crc32", "_kd_size", "_kd_shard")
+    return kdtree.numbered(narrow, n_shards).select(
+        "doc_id", F.col("_kd_size").alias("size"), "text_crc32", F.lit("bytes").alias("law"), F.col("_kd_shard").alias("shard"),
+        F.col("_kd_slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op5_quality_grades(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = ordinal.fit(docs, _table(spark, folder, "labels").select("doc_id", F.col("quality").alias("rating")))
+    return ordinal.grade(docs, model, least=1).select("doc_id", "expected_grade", "tail_probability", "kept")
+
+
 def op6_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
     return compression.judge(_table(spark, folder, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio", "bad_chunks")
 
 
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Words and rate of every document."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    weights = mixing.fit(docs, domains(spark, folder))
+    rated = mixing.rates(docs, weights, DOMAIN_TARGETS)
+    return rated.select("doc_id", F.col("_mix_tokens").alias("n_tokens"), F.col("_mix_posterior").alias("posterior"), F.col("_mix_rate").alias("rate"))
+
+
+def domains(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, domain) of `labels`."""
+    labels = _table(spark, folder, "labels").where("quality is not null and toxic is not null")
+    return labels.select("doc_id", F.format_string("q%dt%d", "quality", "toxic").alias("domain"))
+
+
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    held_out = F.coalesce(crc_mod(F.col("doc_id"), 5) == 0, F.lit(False))
+    labels = _table(spark, folder, "labels").where(~held_out).select("doc_id", F.col("toxic").alias("label"))
+    return toxicity.score(docs, toxicity.fit(docs, labels)).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
@@ -56,7 +105,12 @@ FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_language": op2_language,
+    "op3_kd_shards": op3_kd_shards,
+    "op5_quality_grades": op5_quality_grades,
     "op6_compression_bands": op6_compression_bands,
+    "op7_mixing": op7_mixing,
+    "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
 }
 SQL = {"op1_decontamination": OP1_SQL, "op10_near_duplicates": OP10_SQL}
