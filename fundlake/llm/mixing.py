@@ -21,6 +21,7 @@ apart and their weight goes to the others; without a classifier all rates are 1.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from functools import partial
 
@@ -104,8 +105,7 @@ def _posteriors(batches: Iterator[pa.RecordBatch], weights) -> Iterator[pa.Recor
             yield pa.RecordBatch.from_arrays([*others, pa.array(count), lists], names=[*batch.schema.names, "_mix_tokens", "_mix_posterior"])
 
 
-def _dot(a: Column, b: list[float] | Column) -> Column:
-    b = F.array(*(F.lit(float(x)) for x in b)) if isinstance(b, list) else b
+def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
@@ -114,7 +114,8 @@ def _rate(history: list[tuple[list[float], float]], step: float) -> Column:
     p, start = F.col("_mix_posterior"), F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y"))
     if not history:
         return start
-    steps = F.array(*(F.struct(F.array(*(F.lit(float(x)) for x in res)).alias("g"), F.lit(float(beta)).alias("b")) for res, beta in history))
+    # One literal, however long the history.
+    steps = F.from_json(F.lit(json.dumps([{"g": res, "b": beta} for res, beta in history])), "array<struct<g:array<double>,b:double>>")
 
     def advance(state: Column, s: Column) -> Column:
         moved = F.greatest(F.lit(0.0), state["y"] - step * (_dot(p, s["g"]) + RIDGE * (state["y"] - 1.0)))
@@ -131,10 +132,11 @@ def rates(docs: DataFrame, weights: dict[str, np.ndarray], targets: dict[str, fl
     shared = docs.sparkSession.sparkContext.broadcast([weights[n] for n in names])  # a row of DIMENSIONS weights for each domain
     added = [T.StructField("_mix_tokens", T.LongType()), T.StructField("_mix_posterior", T.ArrayType(T.DoubleType()))]
     schema = T.StructType([*docs.schema.fields, *added])
-    rows = stored(docs.mapInArrow(partial(_posteriors, weights=shared), schema), "posteriors")
+    rows = docs.mapInArrow(partial(_posteriors, weights=shared), schema)
     wanted = np.array([max(0.0, targets.get(n, 0.0)) for n in names])
     wanted = wanted / wanted.sum() if wanted.sum() else np.full(len(names), 1 / len(names))
-    points = rows.select("_mix_tokens", "_mix_posterior")
+    # The iterations read a narrow table; the posteriors of the result are computed once more, not carried along.
+    points = stored(docs.select("text").mapInArrow(partial(_posteriors, weights=shared), T.StructType([docs.schema["text"], *added])).drop("text"), "posteriors")
     total = points.agg(F.sum("_mix_tokens")).first()[0] or 0
     history: list[tuple[list[float], float]] = []
     step, momentum = 1 / (1 + RIDGE), 1.0

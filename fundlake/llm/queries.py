@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm import compression, decontaminate, kdtree, language, mixing, neardup, ordinal, toxicity
+from fundlake.llm import compression, decontaminate, kdtree, language, mixing, neardup, ordinal, token_store, toxicity
 from fundlake.llm.labelled import crc_mod
 
 #: Domains of `labels` (quality and toxic as q*t*) and the shares of words wanted of them.
 DOMAIN_TARGETS = {"q1t0": 0.90, "q0t0": 0.06, "q1t1": 0.03, "q0t1": 0.01}
 N_SHARDS = 8
+END_ID = 2
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -40,6 +42,12 @@ def op3_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
         F.col("_kd_slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_token_store(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    manifest, shards = token_store.write(docs, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"), END_ID)
+    return token_store.read(manifest, shards).withColumnRenamed("key", "doc_id")
+
+
 def op5_quality_grades(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     model = ordinal.fit(docs, _table(spark, folder, "labels").select("doc_id", F.col("quality").alias("rating")))
@@ -107,6 +115,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_language": op2_language,
     "op3_kd_shards": op3_kd_shards,
+    "op4_token_store": op4_token_store,
     "op5_quality_grades": op5_quality_grades,
     "op6_compression_bands": op6_compression_bands,
     "op7_mixing": op7_mixing,
