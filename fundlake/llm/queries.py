@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm import compression, decontaminate, kdtree, language, mixing, neardup, ordinal, token_store, toxicity
+from fundlake.llm import compression, decontaminate, kdtree, language, mixing, neardup, ordinal, repeats, token_store, toxicity
 from fundlake.llm.labelled import crc_mod
 
 #: Domains of `labels` (quality and toxic as q*t*) and the shares of words wanted of them.
@@ -73,6 +73,10 @@ def domains(spark: SparkSession, folder: str) -> DataFrame:
     return labels.select("doc_id", F.format_string("q%dt%d", "quality", "toxic").alias("domain"))
 
 
+def op8_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove(_table(spark, folder, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     held_out = F.coalesce(crc_mod(F.col("doc_id"), 5) == 0, F.lit(False))
@@ -119,6 +123,7 @@ QUERIES = {
     "op5_quality_grades": op5_quality_grades,
     "op6_compression_bands": op6_compression_bands,
     "op7_mixing": op7_mixing,
+    "op8_repeated_passages": op8_repeated_passages,
     "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
 }
