@@ -39,7 +39,8 @@ def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row gets its shard and its place there."""
     assigned, n_shards = kdtree.assign(docs, n_shards=N_SHARDS)
     placed = kdtree.numbered(assigned, n_shards)
-    return placed.select(*docs.columns, F.col("_kd_shard").alias("shard"), F.col("_kd_slot").alias("slot"), F.col("_kd_size").alias("size"))
+    others = [c for c in docs.columns if c not in ("shard", "slot", "size")]
+    return placed.select(*others, F.col("_kd_shard").alias("shard"), F.col("_kd_slot").alias("slot"), F.col("_kd_size").alias("size"))
 
 
 STAGES = [

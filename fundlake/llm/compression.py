@@ -30,7 +30,7 @@ CHUNK_BYTES = 4096
 LEAST_BYTES = 256
 MOST_BAD_CHUNKS = 0.5
 #: From so many bytes on: least and most ratio.
-BANDS = ((256, 1.02, 3.2), (512, 1.10, 3.5), (1024, 1.15, 4.0), (4096, 1.20, 5.0), (16384, 1.25, 7.0), (65536, 1.25, 9.0))
+BANDS = ((256, 1.02, 3.2), (512, 1.15, 3.5), (1024, 1.30, 4.0), (4096, 1.36, 5.0), (16384, 1.40, 7.0), (65536, 1.40, 9.0))
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 

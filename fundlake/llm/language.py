@@ -115,9 +115,11 @@ def _phrases(pieces: np.ndarray, lengths: np.ndarray, width: int, table: np.ndar
             break
         symbol = pieces[t, :n]
         to = table[state[:n] * width + symbol]
-        broken = np.flatnonzero(to == 0)
-        to[broken] = table[symbol[broken]]
-        count[broken] += 1
+        if t:
+            # No way on, or the symbol before was unknown to the language and a phrase by itself.
+            broken = np.flatnonzero((to == 0) | (state[:n] == 0))
+            to[broken] = table[symbol[broken]]
+            count[broken] += 1
         state[:n] = to
     return count
 

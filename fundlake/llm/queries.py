@@ -34,7 +34,8 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents").withColumn("text_crc32", F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32")
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang", "source", crc)
     assigned, n_shards = kdtree.assign(docs, n_shards=N_SHARDS)
     narrow = assigned.select("doc_id", "text_crc32", "_kd_size", "_kd_shard")
     return kdtree.numbered(narrow, n_shards).select(

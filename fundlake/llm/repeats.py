@@ -161,14 +161,17 @@ def _runs(key, h, lo, hi) -> pa.Table:
                     pa.schema([("key", pa.int64()), ("h1", pa.int64()), ("runs", pa.binary())]))
 
 
-def _first_of_equal(anchor, seg, key, h, at) -> np.ndarray:
-    """Which segments are the earliest of the equal ones."""
+def _first_of_equal(anchor, seg, key, h, at) -> tuple[np.ndarray, np.ndarray]:
+    """Which segments are the earliest of the equal ones, and which start after those."""
     order = np.lexsort((at, h, key, seg, anchor))
     lead = np.ones(len(order), bool)
     lead[1:] = (seg[order][1:] != seg[order][:-1]) | (anchor[order][1:] != anchor[order][:-1])
-    out = np.zeros(len(order), bool)
-    out[order[lead]] = True
-    return out
+    leader = order[np.maximum.accumulate(np.where(lead, np.arange(len(order)), 0))]
+    first, later = np.zeros(len(order), bool), np.zeros(len(order), bool)
+    first[order[lead]] = True
+    # A segment can be cut out for several anchors with one hash; it is no repeat of itself.
+    later[order] = (key[order] != key[leader]) | (h[order] != h[leader]) | (at[order] != at[leader])
+    return first, later
 
 
 def _cut(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -183,7 +186,7 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterat
         anchor, seg, key, h, at, n = (np.concatenate([part[k] for part in held]) for k in range(6))
         text = np.concatenate([part[6] for part in held])
         begin = np.cumsum(n) - n
-        first = _first_of_equal(anchor, seg, key, h, at)
+        first, later = _first_of_equal(anchor, seg, key, h, at)
         rows = {name: [] for name in _PACK.names}
 
         def pack(bucket, mine, whole):
@@ -194,7 +197,7 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterat
             for name, value in zip(rows, values):
                 rows[name].append(value)
 
-        for chosen, whole in ((first, True), (~first, False)):
+        for chosen, whole in ((first, True), (later, False)):
             mine = np.flatnonzero(chosen)
             bucket = (anchor[mine] >> np.uint64(8)) % np.uint64(buckets) if whole else mix(key[mine].view(np.uint64)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
@@ -244,8 +247,7 @@ def _bucket(table: pa.Table, length: int) -> pa.Table:
         seg = np.concatenate([
             span_hashes(text[begin[s] : begin[e - 1] + n[e - 1]], begin[s:e] - begin[s], begin[s:e] - begin[s] + n[s:e])
             for s, e in zip(np.searchsorted(shard, np.arange(len(packs))), np.searchsorted(shard, np.arange(len(packs)), side="right"))])
-        first = _first_of_equal(anchor, seg, key, h, at)
-        again = ~first
+        first, again = _first_of_equal(anchor, seg, key, h, at)
         out_key.append(key[again])
         out_h.append(h[again])
         out_lo.append(at[again])
