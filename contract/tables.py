@@ -426,7 +426,6 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self._made: dict[str, DataFrame] = {}
-        self._star: dict[str, DataFrame] | None = None
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -463,21 +462,20 @@ class Tables:
 
     def star(self) -> dict[str, DataFrame]:
         """The written warehouse; built on first use, as the reporting queries expect."""
-        if self._star is None:
-            self._star = warehouse.build(
+        key = (self.spark.sparkContext.applicationId, self.folder)
+        if key not in _STARS:
+            _STARS[key] = warehouse.build(
                 self.spark, scratch_path(self.spark, "warehouse"), self.x_funds, self.x_nav, self.x_aum,
                 self.x_flagged, self.x_txn)
-        return self._star
+        return _STARS[key]
 
     def scorecard(self) -> DataFrame:
         return scorecard.scorecard(self.x_metrics)
 
 
-_CACHE: dict[tuple[str, str], Tables] = {}
+#: The written star of each (application, folder): stored files, the only thing that queries share.
+_STARS: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 def tables(spark: SparkSession, folder: str) -> Tables:
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _CACHE:
-        _CACHE[key] = Tables(spark, folder)
-    return _CACHE[key]
+    return Tables(spark, folder)

@@ -9,6 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def required(df: DataFrame, condition: Column, message: str) -> DataFrame:
+    """``df``, failing the query on any row that breaks ``condition``. A filter, so that no projection removes it."""
+    return df.where(F.when(condition, F.lit(True)).otherwise(F.raise_error(F.lit(message)).cast("boolean")))
+
+
 @dataclass(frozen=True)
 class TableRules:
     not_null: Sequence[str] = ()
@@ -29,7 +34,8 @@ def violations(name: str, df: DataFrame, rules: TableRules, tables: Mapping[str,
         ]).alias("r"))
         parts.append(counted.select(F.inline("r")))
     for keys in rules.unique:
-        copies = df.groupBy(*keys).agg(F.count("*").alias("n"))
+        # NULL keys break "not null", not uniqueness.
+        copies = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count("*").alias("n"))
         parts.append(copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("violations")).select(
             F.lit(f"unique: {', '.join(keys)}").alias("rule"), "violations"))
     for column, parent in rules.foreign.items():

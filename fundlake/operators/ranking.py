@@ -3,10 +3,8 @@
 A window with no partition columns sends every row to one task. The functions
 here range-sort the rows instead, store each row's slice number with it (so a
 recomputed task can never disagree about it), and add the number of rows in the
-slices before. What is brought together is one count per slice.
-
-When the caller knows that the row count is small, a plain window is used: it
-gives the same answer and saves the sort pass.
+slices before. What is brought together is one count per slice. There is one way
+for every size. NaN counts as missing, as NULL does.
 """
 
 from __future__ import annotations
@@ -19,19 +17,14 @@ from pyspark.sql import functions as F
 from fundlake.session import cut_lineage
 
 SLICE = "__slice"
-FITS_ONE_TASK = 100_000
 
 
 def _slices(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     return cut_lineage(df.repartitionByRange(*order).withColumn(SLICE, F.spark_partition_id()))
 
 
-def row_numbers(
-    df: DataFrame, order: Sequence[Column], out: str, known_rows: int | None = None
-) -> DataFrame:
+def row_numbers(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
     """Dense 1..N over the whole table in the given total order."""
-    if known_rows is not None and known_rows <= FITS_ONE_TASK:
-        return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("long"))
     slices = _slices(df, order)
     running = Window.orderBy(SLICE)
     starts = (
@@ -46,13 +39,18 @@ def row_numbers(
     )
 
 
+def _known(df: DataFrame, value: str) -> Column:
+    known = F.col(value).isNotNull()
+    return known & ~F.isnan(value) if df.schema[value].dataType.typeName() in ("double", "float") else known
+
+
 def cumulative_counts(df: DataFrame, value: str, groups: Sequence[str] = ()) -> DataFrame:
     """Distinct values with ``n`` (copies), ``before`` (rows below), ``total`` rows.
 
     Copies are counted before the first exchange, so one value or one group may
     hold most of the rows. Rows with a missing value or group are left out.
     """
-    present = F.col(value).isNotNull()
+    present = _known(df, value)
     for name in groups:
         present &= F.col(name).isNotNull()
     counts = df.where(present).groupBy(*groups, value).agg(F.count("*").alias("n"))
@@ -73,31 +71,28 @@ def cumulative_counts(df: DataFrame, value: str, groups: Sequence[str] = ()) ->
     )
 
 
-def min_ranks(
-    df: DataFrame, key: str, metrics: Mapping[str, tuple[str, bool]], known_rows: int | None = None
-) -> DataFrame:
-    """Add one min-rank per ``out -> (column, ascending)``; missing values get none."""
-    if known_rows is not None and known_rows <= FITS_ONE_TASK:
-        ranked = {}
-        for out, (name, ascending) in metrics.items():
-            order = F.col(name).asc_nulls_last() if ascending else F.col(name).desc_nulls_last()
-            ranked[out] = F.when(F.col(name).isNotNull(), F.rank().over(Window.orderBy(order)).cast("long"))
-        return df.withColumns(ranked)
-    entries = F.array(*[
-        F.struct(
-            F.lit(out).alias("__metric"),
-            (F.col(name) if ascending else -F.col(name)).cast("double").alias("__value"),
-        )
-        for out, (name, ascending) in metrics.items()
-    ])
-    tall = df.select(key, F.inline(entries))
-    positions = cumulative_counts(tall, "__value", ["__metric"])
-    wide = (
-        tall.join(positions.select("__metric", "__value", "before"), ["__metric", "__value"])
-        .groupBy(key)
-        .agg(*[F.max(F.when(F.col("__metric") == out, F.col("before") + 1)).alias(out) for out in metrics])
-    )
-    return df.join(wide, key, "left")
+def min_ranks(df: DataFrame, metrics: Mapping[str, tuple[str, bool]]) -> DataFrame:
+    """Add one min-rank per ``out -> (column, ascending)``; missing values get none.
+
+    Values keep their own type. Metrics of one type share one sort of their distinct
+    values. A rank belongs to a value and is joined to the rows by it, so repeated keys
+    and equal rows are ranked like any others.
+    """
+    of_type: dict[str, list[str]] = {}
+    for out, (name, _) in metrics.items():
+        of_type.setdefault(df.schema[name].dataType.simpleString(), []).append(out)
+    ranked = df
+    for outs in of_type.values():
+        entries = F.array(*[F.struct(F.lit(out).alias("__metric"), F.col(metrics[out][0]).alias("__value")) for out in outs])
+        positions = cumulative_counts(df.select(F.inline(entries)), "__value", ["__metric"])
+        upward, downward = F.col("before") + 1, F.col("total") - F.col("before") - F.col("n") + 1
+        ranks = cut_lineage(positions.select("__metric", "__value", upward.alias("__up"), downward.alias("__down")))
+        for out in outs:
+            name, ascending = metrics[out]
+            one = ranks.where(F.col("__metric") == out).select(F.col("__value").alias(f"__{out}"), F.col("__up" if ascending else "__down").alias(out))
+            # NaN equals NaN in a join, but no rank was given to it.
+            ranked = ranked.join(one, F.col(name) == F.col(f"__{out}"), "left").drop(f"__{out}")
+    return ranked
 
 
 def exact_quantiles(
@@ -122,10 +117,14 @@ def exact_quantiles(
 def top_n_with_rest(
     df: DataFrame, label: str, value: str, n: int, rest: str = "Others"
 ) -> DataFrame:
-    """The n largest rows, plus one row for the remainder when that is above zero."""
-    top = df.select(label, value).orderBy(F.desc(value), F.asc(label)).limit(n)
+    """The n largest rows, plus one row for the remainder when that is above zero.
+
+    Rows without a label are left out of both.
+    """
+    named = df.where(F.col(label).isNotNull())
+    top = named.select(label, value).orderBy(F.desc(value), F.asc(label)).limit(n)
     others = (
-        df.join(F.broadcast(top.select(label)), label, "left_anti")
+        named.join(F.broadcast(top.select(label)), label, "left_anti")
         .agg(F.sum(value).alias(value))
         .where(F.col(value) > 0)
         .select(F.lit(rest).alias(label), value)

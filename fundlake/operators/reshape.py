@@ -4,23 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fundlake.operators.constraints import required
+
+
+def _listed(df: DataFrame, columns: str, wanted: Sequence) -> DataFrame:
+    """Rows with a key; a key that is not listed fails the query instead of vanishing."""
+    return required(df.where(F.col(columns).isNotNull()), F.col(columns).isin(*wanted), "pivot key not listed")
+
 
 def pivot_unique(df: DataFrame, index: str, columns: str, values: str, wanted: Sequence) -> DataFrame:
-    """Wide table with one column per wanted key; a repeated cell fails the query."""
-    cell = F.when(F.count(values) > 1, F.raise_error(F.lit("duplicate entry in pivot")).cast("double")).otherwise(F.max(values))
-    return df.groupBy(index).pivot(columns, list(wanted)).agg(cell)
+    """Wide table with one column per wanted key; a repeated cell or a key not listed fails the query."""
+    cells = _listed(df, columns, wanted).groupBy(index, columns).agg(F.count(values).alias("__n"), F.max(values).alias(values))
+    cells = required(cells, F.col("__n") <= 1, "duplicate entry in pivot")
+    return cells.groupBy(index).pivot(columns, list(wanted)).agg(F.max(values))
 
 
-def pivot_sum(df: DataFrame, index: str, columns: Column | str, values: str, wanted: Sequence) -> DataFrame:
-    """Wide sums, absent cells 0."""
-    return df.groupBy(index).pivot(columns, list(wanted)).agg(F.sum(values)).fillna(0)
+def pivot_sum(df: DataFrame, index: str, columns: str, values: str, wanted: Sequence) -> DataFrame:
+    """Wide sums, absent cells 0; repeated cells add up."""
+    return _listed(df, columns, wanted).groupBy(index).pivot(columns, list(wanted)).agg(F.sum(values)).fillna(0)
 
 
 def pivot_mean(df: DataFrame, index: str, columns: str, values: str, wanted: Sequence) -> DataFrame:
-    return df.groupBy(index).pivot(columns, list(wanted)).agg(F.avg(values))
+    return _listed(df, columns, wanted).groupBy(index).pivot(columns, list(wanted)).agg(F.avg(values))
 
 
 def unpivot(df: DataFrame, ids: Sequence[str], values: Sequence[str], label: str, value: str) -> DataFrame:

@@ -30,6 +30,7 @@ from fundlake.functions.coerce import (
 )
 from fundlake.functions.rules import anomaly_flags, expense_in_range
 from fundlake.operators.aggregates import beside
+from fundlake.operators.constraints import required
 from fundlake.operators.dedup import distinct_rows, keep_last
 from fundlake.operators.series import fill_calendar
 from fundlake.sources.files import read_csv, write_csv
@@ -153,10 +154,8 @@ def _parse_performance(raw: DataFrame) -> DataFrame:
 def _finish_performance(df: DataFrame) -> DataFrame:
     """Flag anomalies; an expense ratio out of range fails the run."""
     one = keep_last(df, ["amfi_code"]).withColumn("anomaly_flag", anomaly_flags())
-    checked = F.when(expense_in_range(F.col("expense_ratio_pct")), F.col("expense_ratio_pct")).otherwise(
-        F.raise_error(F.lit("expense_ratio_pct out of range")).cast("double"))
-    return one.withColumns({
-        "expense_ratio_pct": checked,
+    checked = required(one, expense_in_range(F.col("expense_ratio_pct")), "expense_ratio_pct out of range")
+    return checked.withColumns({
         "morningstar_rating": F.col("morningstar_rating").cast("long"),
         "aum_crore": F.col("aum_crore").cast("long"),
     })

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundlake import schemas as S
 from fundlake.functions.rules import in_crore, short_label
 from fundlake.operators.aggregates import above_trimmed_ceiling, quantiles, value_counts, with_share
 from fundlake.operators.dedup import latest_per_group
-from fundlake.operators.ranking import row_numbers, top_n_with_rest
+from fundlake.operators.ranking import top_n_with_rest
 from fundlake.operators.reshape import pivot_sum, unpivot, with_row_total
 from fundlake.operators.series import every_kth, growth, highest, lowest, nearest_to_markers, rebase_to_first_day
 from fundlake.operators.sets import shared_order
@@ -54,7 +54,7 @@ def focus_low(average: DataFrame, start: str = CORRECTION_WINDOW[0], end: str =
 
 def yearly_aum(aum: DataFrame) -> DataFrame:
     """Last snapshot of each fund house in each year."""
-    dated = aum.withColumn("year", F.year("date"))
+    dated = aum.where(F.col("fund_house").isNotNull() & F.col("date").isNotNull()).withColumn("year", F.year("date"))
     return latest_per_group(dated, ["year", "fund_house"], F.desc("date")).select("year", "fund_house", "aum_lakh_crore")
 
 
@@ -102,13 +102,13 @@ def active_accounts(sip: DataFrame) -> DataFrame:
 def category_matrix(category: DataFrame, months: Sequence[str] | None = None) -> DataFrame:
     """Category by month, absent cells 0, categories with the largest total first."""
     months = months or months_in(category, "month")
-    keyed = category.withColumn("__month", F.date_format("month", "yyyy-MM"))
+    keyed = category.where(F.col("category").isNotNull()).withColumn("__month", F.date_format("month", "yyyy-MM"))
     wide = pivot_sum(keyed, "category", "__month", "net_inflow_crore", months)
     return with_row_total(wide, months).orderBy(F.desc("row_total"), "category")
 
 
 def category_totals(category: DataFrame) -> DataFrame:
-    return category.groupBy("category").agg(F.sum("net_inflow_crore").alias("net_inflow_crore")).orderBy(
+    return category.where(F.col("category").isNotNull()).groupBy("category").agg(F.sum("net_inflow_crore").alias("net_inflow_crore")).orderBy(
         F.desc("net_inflow_crore"), "category")
 
 
@@ -134,7 +134,7 @@ def gender_split(transactions: DataFrame) -> DataFrame:
 
 
 def _sip_by(transactions: DataFrame, column: str) -> DataFrame:
-    sip = transactions.where(F.col("transaction_type") == "SIP")
+    sip = transactions.where((F.col("transaction_type") == "SIP") & F.col(column).isNotNull())
     return sip.groupBy(column).agg(F.sum("amount_inr").alias("amount_inr")).withColumn(
         "sip_amount_crore", in_crore(F.col("amount_inr")))
 
@@ -144,7 +144,7 @@ def state_sip(transactions: DataFrame, n: int = 30) -> DataFrame:
 
 
 def city_tier_sip(transactions: DataFrame) -> DataFrame:
-    tiers = _sip_by(transactions, "city_tier").where(F.col("city_tier").isNotNull())
+    tiers = _sip_by(transactions, "city_tier")
     return with_share(tiers, "amount_inr", "share_pct", 100.0).select("city_tier", "sip_amount_crore", "share_pct")
 
 
@@ -172,8 +172,9 @@ def latest_folio_mix(folios: DataFrame) -> DataFrame:
 def largest_by_aum(performance: DataFrame, k: int = 10) -> DataFrame:
     """``(amfi_code, slot)`` of the k largest funds; the slot is the size rank."""
     top = performance.select("amfi_code", "aum_crore").orderBy(F.desc("aum_crore"), "amfi_code").limit(k)
-    order = [F.desc("aum_crore"), F.asc("amfi_code")]
-    return row_numbers(top, order, "slot", known_rows=k).select("amfi_code", "slot")
+    # k rows: the window above the limit sees no others.
+    slot = F.row_number().over(Window.orderBy(F.desc("aum_crore"), F.asc("amfi_code")))
+    return top.select("amfi_code", slot.cast("long").alias("slot"))
 
 
 def labelled_correlation(nav: DataFrame, performance: DataFrame, funds: DataFrame, k: int = 10) -> DataFrame:

@@ -1,8 +1,9 @@
 """Daily returns of funds and indices, and per-fund performance and risk figures.
 
 Everything about a fund is computed from one exchange on its code: the windows
-share one spec and the final aggregate reuses their partitioning. Index returns
-are at most one row per index name and calendar day, which bounds the broadcast.
+share one spec and the final aggregate reuses their partitioning. Prices and index
+values are one per series and day here: rows without a key, day or value are dropped and
+of several rows of a day the first to arrive stays.
 """
 
 from __future__ import annotations
@@ -19,10 +20,15 @@ from fundlake.operators.dedup import keep_first
 from fundlake.operators.series import change, previous, so_far, whole
 
 
+def _one_a_day(df: DataFrame, key: str, value: str, arrival: str | None) -> DataFrame:
+    """One known value per series and day; without an arrival column the smallest, so that the choice is stable."""
+    kept = keep_first(df.dropna(subset=[key, "date", value]), [key, "date"], arrival or value)
+    return kept.drop(arrival) if arrival else kept
+
+
 def daily_returns(nav: DataFrame, funds: DataFrame | None = None, arrival: str | None = None) -> DataFrame:
     """Price, previous price and return per fund and day, with fund columns added."""
-    if arrival:
-        nav = keep_first(nav, ["amfi_code", "date"], arrival).drop(arrival)
+    nav = _one_a_day(nav, "amfi_code", "nav", arrival)
     out = nav.select(
         "amfi_code", "date", "nav", previous("nav", "amfi_code").alias("previous_nav"))
     out = out.withColumn("daily_return", F.col("nav") / F.col("previous_nav") - 1)
@@ -32,8 +38,7 @@ def daily_returns(nav: DataFrame, funds: DataFrame | None = None, arrival: str |
 
 
 def benchmark_returns(indices: DataFrame, arrival: str | None = None) -> DataFrame:
-    if arrival:
-        indices = keep_first(indices, ["index_name", "date"], arrival).drop(arrival)
+    indices = _one_a_day(indices, "index_name", "close_value", arrival)
     return indices.select(
         "date", "index_name", "close_value", change("close_value", "index_name").alias("benchmark_return"))
 
@@ -57,20 +62,20 @@ def excess_over_risk(returns: Column, risk: Column, risk_free: float = S.RISK_FR
 def _with_market(daily: DataFrame, indices: DataFrame, market: str) -> DataFrame:
     series = indices.where(F.col("index_name") == market).select(
         "date", F.col("benchmark_return").alias("market_return"))
-    return daily.join(F.broadcast(series), "date", "left")
+    return daily.join(series, "date", "left")
 
 
 def _with_tracked(daily: DataFrame, indices: DataFrame, strict: bool = False) -> DataFrame:
     """Add the return of the index each fund is measured against, NULL if absent.
 
-    Only the index names in the rule list can match, so the joined side has at
-    most that many rows per calendar day.
+    Only the index names in the rule list can match. Index returns have one row per
+    name and day, so no fund row is multiplied.
     """
     known = sorted({key for _, key in S.BENCHMARK_RULES} | {S.DEFAULT_BENCHMARK})
     series = indices.where(F.col("index_name").isin(*known)).select(
         "date", F.col("index_name").alias("tracking_benchmark"), F.col("benchmark_return").alias("tracked_return"))
     keyed = daily.withColumn("tracking_benchmark", benchmark_key(F.col("benchmark"), strict))
-    return keyed.join(F.broadcast(series), ["date", "tracking_benchmark"], "left")
+    return keyed.join(series, ["date", "tracking_benchmark"], "left")
 
 
 def _cagr(years: int) -> Column:

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from fundlake import schemas as S
 from fundlake.functions.calendar import years_before
-from fundlake.functions.rules import series_label
 from fundlake.operators.aggregates import beside
 from fundlake.operators.ranking import min_ranks, row_numbers
 from fundlake.operators.series import rebase_to_own_start
 from fundlake.session import cut_lineage
+from fundlake.sources.files import read_table, write_table
 
 ALPHA_BETA_COLUMNS = (
     "amfi_code", "scheme_name", "fund_house", "category", "alpha_daily", "alpha_annualized_pct", "beta",
@@ -19,15 +19,13 @@ ALPHA_BETA_COLUMNS = (
 )
 
 
-def with_scores(metrics: DataFrame, known_rows: int | None = None) -> DataFrame:
+def with_scores(metrics: DataFrame) -> DataFrame:
     """Five min-ranks, their weighted scores and the total.
 
     A missing metric gets no rank and adds nothing; every fund counts in N.
     """
     ranks = {rank: (metric, up) for metric, rank, up, _ in S.SCORECARD_PARTS.values()}
-    ranked = min_ranks(metrics, "amfi_code", ranks, known_rows)
-    total = F.lit(known_rows) if known_rows is not None else metrics.select(F.count("*")).scalar()
-    ranked = ranked.withColumn("__n", total.cast("double"))
+    ranked = min_ranks(metrics, ranks).withColumn("__n", metrics.select(F.count("*")).scalar().cast("double"))
     scores = {
         f"score_{part}": (F.col("__n") - F.col(rank) + 1) / F.col("__n") * F.lit(weight) * 100
         for part, (_, rank, _, weight) in S.SCORECARD_PARTS.items()
@@ -48,12 +46,9 @@ def ranking_order():
 def scorecard(metrics: DataFrame) -> DataFrame:
     """Ranked funds, ``fund_rank`` 1 the best.
 
-    Metrics are stored first (one row per fund): they are used several times, and
-    counting the stored rows decides how the ranking is planned.
+    Metrics are stored first (one row per fund), as they are used several times.
     """
-    stored = cut_lineage(metrics)
-    rows = stored.count()
-    return row_numbers(with_scores(stored, rows), ranking_order(), "fund_rank", rows)
+    return row_numbers(with_scores(cut_lineage(metrics)), ranking_order(), "fund_rank")
 
 
 def best_funds(ranked: DataFrame, n: int = 5) -> DataFrame:
@@ -73,8 +68,16 @@ def growth_comparison(ranked: DataFrame, daily: DataFrame, indices: DataFrame, t
     return based.select("date", "series_name", "normalized_value")
 
 
-def labelled(series: DataFrame) -> DataFrame:
-    return series.withColumn("label", series_label(F.col("series_name")))
+def exports(metrics: DataFrame, ranked: DataFrame, daily: DataFrame, folder: str) -> dict[str, DataFrame]:
+    """Write alpha and beta, the scorecard and the daily returns below ``folder``; gives them as written."""
+    parts = {
+        "alpha_beta": metrics.select(*ALPHA_BETA_COLUMNS).orderBy(F.desc_nulls_last("alpha_annualized_pct"), "amfi_code"),
+        "fund_scorecard": ranked.orderBy("fund_rank"),
+        "daily_returns": daily,
+    }
+    for name, part in parts.items():
+        write_table(part, f"{folder}/{name}")
+    return {name: read_table(part.sparkSession, f"{folder}/{name}") for name, part in parts.items()}
 
 
 def run_summary(ranked: DataFrame, daily: DataFrame) -> DataFrame:

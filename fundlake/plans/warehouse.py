@@ -22,9 +22,9 @@ from fundlake.operators.ranking import row_numbers
 from fundlake.sources.files import read_table, write_table
 
 
-def dim_fund(funds: DataFrame, known_rows: int | None = None) -> DataFrame:
+def dim_fund(funds: DataFrame) -> DataFrame:
     """Funds with a dense surrogate key in code order."""
-    keyed = row_numbers(funds, [F.col("amfi_code").asc()], "fund_key", known_rows)
+    keyed = row_numbers(funds, [F.col("amfi_code").asc()], "fund_key")
     return keyed.select("fund_key", *funds.columns)
 
 
@@ -85,17 +85,17 @@ def declared_rules() -> dict[str, TableRules]:
     c = F.col
     return {
         "dim_fund": TableRules(
-            not_null=S.FUND_MASTER, checks={"plan": c("plan").isin(*S.PLANS)},
+            not_null=("fund_key", *S.FUND_MASTER), checks={"plan": c("plan").isin(*S.PLANS)},
             unique=[["fund_key"], ["amfi_code"]]),
         "dim_date": TableRules(
-            not_null=("full_date", "year", "quarter", "month", "month_name", "day", "day_of_week", "day_name"),
+            not_null=("date_key", "full_date", "year", "quarter", "month", "month_name", "day", "day_of_week", "day_name"),
             checks={"is_weekend": c("is_weekend").isin(0, 1), "is_month_end": c("is_month_end").isin(0, 1)},
             unique=[["date_key"], ["full_date"]]),
         "fact_nav": TableRules(
             not_null=("fund_key", "date_key", "nav"), checks={"nav": c("nav") > 0},
             unique=[["fund_key", "date_key"]], foreign={"fund_key": "dim_fund", "date_key": "dim_date"}),
         "fact_transactions": TableRules(
-            not_null=("fund_key", "date_key", *[n for n in S.INVESTOR_TRANSACTIONS if n not in ("amfi_code", "transaction_date")]),
+            not_null=("transaction_key", "fund_key", "date_key", *[n for n in S.INVESTOR_TRANSACTIONS if n not in ("amfi_code", "transaction_date")]),
             checks={
                 "transaction_type": c("transaction_type").isin(*S.TRANSACTION_TYPES),
                 "amount_inr": c("amount_inr") > 0,
@@ -103,7 +103,7 @@ def declared_rules() -> dict[str, TableRules]:
             },
             unique=[["transaction_key"]], foreign={"fund_key": "dim_fund", "date_key": "dim_date"}),
         "fact_performance": TableRules(
-            not_null=(*S.PERFORMANCE_METRICS, "risk_grade"),
+            not_null=("fund_key", *S.PERFORMANCE_METRICS, "risk_grade"),
             checks={"morningstar_rating": c("morningstar_rating").between(1, 5)},
             unique=[["fund_key"]], foreign={"fund_key": "dim_fund"}),
         "fact_aum": TableRules(
@@ -113,6 +113,12 @@ def declared_rules() -> dict[str, TableRules]:
     }
 
 
+def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> None:
+    """Make the star's tables known to ``spark.sql`` under their own names."""
+    for name, table in tables.items():
+        table.createOrReplaceTempView(prefix + name)
+
+
 def check_constraints(tables: Mapping[str, DataFrame]) -> DataFrame:
     """``(table, rule, violations)`` over the whole star."""
     report = None

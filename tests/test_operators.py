@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 import random
 
 import numpy as np
@@ -45,29 +47,56 @@ def test_exact_quantiles_match_linear_interpolation(skewed):
     assert whole.p99 == pytest.approx(np.quantile(local.v, 0.99), abs=1e-9)
 
 
-def test_min_ranks_distributed_equals_single_task(skewed):
+def test_min_ranks_of_skewed_values(skewed):
     spec = {"down": ("v", False), "up": ("v", True)}
-    spread = {r.id: (r.down, r.up) for r in ranking.min_ranks(skewed, "id", spec).collect()}
-    simple = {r.id: (r.down, r.up) for r in ranking.min_ranks(skewed, "id", spec, known_rows=4000).collect()}
-    assert spread == simple
+    spread = {r.id: (r.down, r.up) for r in ranking.min_ranks(skewed, spec).collect()}
     local = skewed.toPandas().set_index("id").v
     expected = local.rank(method="min", ascending=False)
     assert all((spread[i][0] is None) == np.isnan(expected[i]) for i in local.index)
     assert all(spread[i][0] == expected[i] for i in local.index if not np.isnan(expected[i]))
 
 
-def test_row_numbers_distributed_equals_single_task(skewed):
+def test_row_numbers_of_skewed_values(skewed):
     order = [F.col("v").desc_nulls_last(), F.col("id").asc()]
     spread = {r.id: r.n for r in ranking.row_numbers(skewed, order, "n").collect()}
-    simple = {r.id: r.n for r in ranking.row_numbers(skewed, order, "n", known_rows=4000).collect()}
-    assert spread == simple and sorted(spread.values()) == list(range(1, 4001))
+    local = skewed.toPandas().sort_values(["v", "id"], ascending=[False, True])
+    assert spread == {i: n for n, i in enumerate(local.id, 1)}
 
 
 def test_tied_ranks_skip(spark):
     df = spark.createDataFrame([(1, 3.0), (2, 3.0), (3, 1.0), (4, None)], "id BIGINT, v DOUBLE")
-    for known in (None, 4):
-        ranks = {r.id: r.r for r in ranking.min_ranks(df, "id", {"r": ("v", False)}, known).collect()}
-        assert ranks == {1: 1, 2: 1, 3: 3, 4: None}
+    ranks = {r.id: r.r for r in ranking.min_ranks(df, {"r": ("v", False)}).collect()}
+    assert ranks == {1: 1, 2: 1, 3: 3, 4: None}
+
+
+@pytest.mark.parametrize("kind,rows,expected", [
+    ("DOUBLE", [(1, 3.0), (2, float("nan")), (3, 1.0), (4, None)], [(1, 1), (2, None), (3, 2), (4, None)]),
+    ("BIGINT", [(1, 2**53), (2, 2**53 + 1), (3, 5)], [(1, 2), (2, 1), (3, 3)]),
+    ("DOUBLE", [(1, 1.0), (1, 2.0), (2, 3.0)], [(1, 2), (1, 3), (2, 1)]),
+    ("DECIMAL(30,10)", [(1, Decimal("1.0000000001")), (2, Decimal("1.0000000002")), (3, None)], [(1, 2), (2, 1), (3, None)]),
+])
+def test_ranks_keep_types_and_rows(spark, kind, rows, expected):
+    df = spark.createDataFrame(rows, f"id BIGINT, v {kind}")
+    got = ranking.min_ranks(df, {"down": ("v", False), "up": ("v", True)}).collect()
+    assert sorted((r.id, r.down) for r in got if r.down is not None) == sorted(x for x in expected if x[1] is not None)
+    n = sum(x[1] is not None for x in expected)
+    assert all(r.up == n + 1 - r.down for r in got if r.down is not None) and len(got) == len(rows)
+
+
+def test_rest_leaves_missing_labels_out(spark):
+    df = spark.createDataFrame([(None, 5.0), ("a", 3.0), ("b", 1.0)], "label STRING, v DOUBLE")
+    rows = {r.label: r.v for r in ranking.top_n_with_rest(df, "label", "v", 1).collect()}
+    assert rows == {"a": 3.0, "Others": 1.0}
+
+
+def test_pivots_refuse_keys_not_listed(spark):
+    df = spark.createDataFrame([("x", "2024-01", 1.0), ("x", "2024-02", 2.0), ("x", None, 4.0)], "k STRING, m STRING, v DOUBLE")
+    assert reshape.pivot_sum(df, "k", "m", "v", ["2024-01", "2024-02"]).first()["2024-02"] == 2.0
+    for pivot in (reshape.pivot_sum, reshape.pivot_mean, reshape.pivot_unique):
+        with pytest.raises(Exception, match="not listed"):
+            pivot(df, "k", "m", "v", ["2024-01"]).count()
+    with pytest.raises(Exception, match="duplicate entry"):
+        reshape.pivot_unique(df.union(df), "k", "m", "v", ["2024-01", "2024-02"]).select("k").collect()
 
 
 @pytest.mark.parametrize("n,names", [(9, 9), (10, 10)])
