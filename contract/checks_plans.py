@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from contract.checks_basic import _SUMMARY_SQL
 from contract.checks_relational import _GRID_SQL, _MATRIX
-from contract.registry import check
+from contract.registry import CHECKS, check
 from contract.tables import Tables
 from fundlake import schemas as S
 from fundlake.operators import series
@@ -313,6 +313,44 @@ check("qy10_city_tier", lambda t: reporting.city_tier_behaviour(t.star()), """
 SELECT city_tier, transaction_type, count(*) AS txn_count, CAST(sum(amount_inr) AS DOUBLE) AS total_amount_inr, avg(amount_inr) AS avg_ticket_size_inr,
   count(DISTINCT investor_id) / count(*) AS unique_investor_ratio FROM {x_txn} GROUP BY ALL""", {"avg_ticket_size_inr": 2, "unique_investor_ratio": 4})
 
+# The same answers from SQL text over the star's views.
+_VIEW_SQL = {
+    "qy1_largest_funds": "SELECT f.amfi_code, f.scheme_name, f.fund_house, p.aum_crore FROM fact_performance p JOIN dim_fund f USING (fund_key) ORDER BY p.aum_crore DESC, f.amfi_code LIMIT 5",
+    "qy2_monthly_average_nav": "SELECT d.year, d.month, avg(n.nav) AS avg_nav FROM fact_nav n JOIN dim_date d USING (date_key) GROUP BY d.year, d.month",
+    "qy4_by_state": "SELECT state, count(*) AS transaction_count, CAST(sum(amount_inr) AS DOUBLE) AS total_amount_inr, avg(amount_inr) AS avg_ticket_size_inr FROM fact_transactions GROUP BY state",
+    "qy5_low_cost_funds": "SELECT f.amfi_code, f.scheme_name, f.fund_house, f.plan, p.expense_ratio_pct, p.return_3yr_pct, p.sharpe_ratio FROM fact_performance p JOIN dim_fund f USING (fund_key) WHERE p.expense_ratio_pct < 1",
+    "qy7_sharpe_leaders": """
+SELECT sub_category, scheme_name, fund_house, sharpe_ratio, sortino_ratio, std_dev_ann_pct
+FROM (SELECT f.sub_category, f.scheme_name, f.fund_house, p.*, max(p.sharpe_ratio) OVER (PARTITION BY f.sub_category) AS best
+      FROM fact_performance p JOIN dim_fund f USING (fund_key)) WHERE sharpe_ratio = best""",
+    "qy9_concentration": """
+WITH latest AS (SELECT aum_crore FROM fact_aum WHERE date_key = (SELECT max(date_key) FROM fact_aum)), whole AS (SELECT sum(aum_crore) AS t FROM latest)
+SELECT sum(pow(aum_crore / (SELECT t FROM whole), 2)) * 10000 AS hhi_index, max(aum_crore / (SELECT t FROM whole)) * 100 AS largest_fund_house_share_pct FROM latest""",
+}
+
+
+def _by_view(text: str):
+    def run(t: Tables) -> DataFrame:
+        warehouse.register_views(t.star())
+        return t.spark.sql(text)
+    return run
+
+
+for _name, _text in _VIEW_SQL.items():
+    check(f"{_name.split('_')[0]}_sql", _by_view(_text), CHECKS[_name].sql, CHECKS[_name].digits)
+
+
+def _export(part: str):
+    def run(t: Tables) -> DataFrame:
+        metrics = t.x_metrics
+        return scorecard.exports(metrics, t.scorecard(), t.x_returns_named, scratch_path(t.spark, "exports"))[part]
+    return run
+
+
+_ALPHA_BETA = ("amfi_code", "scheme_name", "fund_house", "category", "alpha_daily", "alpha_annualized_pct", "beta", "r_squared", "regression_observations")
+check("s10_alpha_beta", _export("alpha_beta"), f"SELECT {', '.join(_ALPHA_BETA)} FROM {{x_metrics}}", {c: d for c, d in _METRIC_DIGITS.items() if c in _ALPHA_BETA} if isinstance(_METRIC_DIGITS, dict) else [c for c in _METRIC_DIGITS if c in _ALPHA_BETA])
+check("s10_scorecard", lambda t: _export("fund_scorecard")(t).select("fund_rank", "amfi_code", "scheme_name", "fund_score"), "SELECT fund_rank, amfi_code, scheme_name, fund_score FROM {x_scorecard}", {"fund_score": 6})
+
 # --- E: result sets ---------------------------------------------------------------------
 check("e1_nav_trend", lambda t: explore.nav_trend(t.x_nav, t.x_funds), """
 SELECT n.amfi_code, n.date, n.nav, f.scheme_name, f.category FROM (SELECT *, row_number() OVER (PARTITION BY amfi_code ORDER BY date) AS i FROM {x_nav}) n

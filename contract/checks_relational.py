@@ -167,7 +167,7 @@ check("w6_lag_over_months", lambda t: t.x_sip.select("month", F.lag("sip_inflow_
 check("w7_share_over_all", lambda t: aggregates.with_share(t.x_aum.where(C("date") == t.x_aum.select(F.max("date")).scalar()), "aum_crore", "market_share").select("fund_house", "market_share"),
       "SELECT fund_house, aum_crore / sum(aum_crore) OVER () AS market_share FROM {x_aum} WHERE date = (SELECT max(date) FROM {x_aum})", {"market_share": 9})
 _RANKS = {"rank_sharpe": ("sharpe_ratio", False), "rank_expense": ("expense_ratio_pct", True), "rank_aum": ("aum_known", False)}
-check("w8_min_rank", lambda t: ranking.min_ranks(t.x_perf.select("amfi_code", "sharpe_ratio", "expense_ratio_pct", F.when(C("amfi_code") % 5 != 0, C("aum_crore")).alias("aum_known")), "amfi_code", _RANKS), """
+check("w8_min_rank", lambda t: ranking.min_ranks(t.x_perf.select("amfi_code", "sharpe_ratio", "expense_ratio_pct", F.when(C("amfi_code") % 5 != 0, C("aum_crore")).alias("aum_known")), _RANKS), """
 SELECT amfi_code, sharpe_ratio, expense_ratio_pct, aum_known, rank() OVER (ORDER BY sharpe_ratio DESC) AS rank_sharpe,
   rank() OVER (ORDER BY expense_ratio_pct) AS rank_expense,
   CASE WHEN aum_known IS NOT NULL THEN rank() OVER (ORDER BY aum_known DESC NULLS LAST) END AS rank_aum
