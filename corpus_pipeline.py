@@ -10,10 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlake.llm import decontaminate, kdtree, mixing, neardup, ordinal
-from fundlake.llm.queries import DOMAIN_TARGETS, N_SHARDS, domains
+from fundlake.llm.queries import N_SHARDS
 from fundlake.llm.tables import stored
 
 
+#: Shares of words wanted of texts labelled toxic (t1) and not (t0); the quality stage has dealt with the other label.
+TOXIC_TARGETS = {"t0": 0.95, "t1": 0.05}
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose probability of quality 1 is below one half go."""
     ratings = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("quality").alias("rating"))
@@ -32,7 +36,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents come as often as the rates of their domains say."""
-    return mixing.mix(docs, mixing.fit(docs, domains(spark, sf_dir)), DOMAIN_TARGETS)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic is not null")
+    domains = labels.select("doc_id", F.format_string("t%d", "toxic").alias("domain"))
+    return mixing.mix(docs, mixing.fit(docs, domains), TOXIC_TARGETS)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
