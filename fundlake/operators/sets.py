@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 def reconcile_keys(master: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """Keys found on one side only: ``(code, side)`` with side missing or extra.
 
-    Keys are compared as text. One shuffle over distinct keys covers both ways.
+    Keys are compared as text and each side's list is sorted. One shuffle over distinct keys covers both ways.
     """
     tagged = master.select(F.col(key).cast("string").alias("code"), F.lit(1).alias("m"), F.lit(0).alias("o")).unionByName(
         other.select(F.col(key).cast("string").alias("code"), F.lit(0).alias("m"), F.lit(1).alias("o"))
@@ -21,6 +21,7 @@ def reconcile_keys(master: DataFrame, other: DataFrame, key: str) -> DataFrame:
         .groupBy("code").agg(F.max("m").alias("m"), F.max("o").alias("o"))
         .where(F.col("m") != F.col("o"))
         .select("code", F.when(F.col("m") == 1, "missing").otherwise("extra").alias("side"))
+        .orderBy("side", "code")
     )
 
 

@@ -83,7 +83,8 @@ def aum_grid(aum: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
 def latest_aum_share(aum: DataFrame) -> DataFrame:
     snapshots = yearly_aum(aum)
     latest = snapshots.where(F.col("year") == snapshots.select(F.max("year")).scalar())
-    return with_share(latest, "aum_lakh_crore", "share_pct", 100.0).select("fund_house", "aum_lakh_crore", "share_pct")
+    shares = with_share(latest, "aum_lakh_crore", "share_pct", 100.0).select("fund_house", "aum_lakh_crore", "share_pct")
+    return shares.orderBy(F.desc("share_pct"), "fund_house")
 
 
 def sip_trend(sip: DataFrame) -> DataFrame:
@@ -130,7 +131,7 @@ def sip_amount_boxes(transactions: DataFrame) -> DataFrame:
 
 
 def gender_split(transactions: DataFrame) -> DataFrame:
-    return with_share(value_counts(transactions, "gender"), "n", "share_pct", 100.0)
+    return with_share(value_counts(transactions, "gender"), "n", "share_pct", 100.0).orderBy(F.desc("n"), "gender")
 
 
 def _sip_by(transactions: DataFrame, column: str) -> DataFrame:
@@ -235,7 +236,7 @@ def findings(
     return report
 
 
-# --- fixed values: how each finding is worded -------------------------------------
+#: This library's own wording of each finding.
 _SENTENCES = {
     1: "%s is the largest fund house with Rs. %.2f lakh crore AUM.",
     2: "%sMonthly SIP inflows grew %.1f%% over the data.",

@@ -181,3 +181,9 @@ def test_constraint_violations(spark):
     rules = constraints.TableRules(not_null=("nav",), checks={"nav": F.col("nav") > 0}, unique=[["fund_key", "date_key"]], foreign={"fund_key": "dim"})
     report = {r.rule: r.violations for r in constraints.violations("fact", fact, rules, {"dim": parent}).collect()}
     assert report == {"not null: nav": 1, "check: nav": 1, "unique: fund_key, date_key": 1, "foreign key: fund_key -> dim": 1}
+
+
+def test_reconciled_keys_are_sorted(spark):
+    a = spark.createDataFrame([(i,) for i in (5, 3, 9, 1)], "k BIGINT")
+    b = spark.createDataFrame([(i,) for i in (8, 3, 7, 2)], "k BIGINT")
+    assert [tuple(r) for r in sets.reconcile_keys(a, b, "k").collect()] == [("2", "extra"), ("7", "extra"), ("8", "extra"), ("1", "missing"), ("5", "missing"), ("9", "missing")]

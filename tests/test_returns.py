@@ -193,3 +193,12 @@ def test_growth_comparison_starts_at_hundred(market):
     first = out.groupBy("series_name").agg(F.min_by("normalized_value", "date").alias("v")).collect()
     assert {r.series_name for r in first} >= {"NIFTY50", "NIFTY100"} and all(r.v == 100.0 for r in first)
     assert scorecard.run_summary(ranked, returns.daily_returns(nav)).first().fund_count == 3
+
+
+def test_scores_of_forty_funds(spark):
+    """Rank r of n funds earns (n - r + 1) / n of a part's weight; weights add up to 100."""
+    n = 40
+    rows = [(k, f"f{k:02d}", float(k), float(n - k), None, float(n - k), float(n - k), float(-k)) for k in range(n)]
+    got = by_key(scorecard.scorecard(spark.createDataFrame(rows, METRICS)))
+    assert got[0].fund_rank == 1 and got[0].fund_score == pytest.approx(100.0) and got[n - 1].fund_rank == n
+    assert got[n - 1].fund_score == pytest.approx(100 / n)
