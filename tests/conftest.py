@@ -6,9 +6,10 @@ from fundlake.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("tests", master="local[4]", **{
-        "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g"})
+        "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g",
+        "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('checkpoints')}"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
