@@ -219,8 +219,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that lead their component, once each.
 
-    Of rows that share a doc_id and are kept, one remains (they are one document); rows
-    without doc_id remain only if no equal text has an id, and then as they are.
+    Rows that share a doc_id are one document, of which one row remains. Rows without
+    doc_id count as documents behind all others, equal texts as one.
     """
-    verdict = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(verdict, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    behind = F.shiftrightunsigned(F.xxhash64("text"), 3) + F.lit(1 << 62)
+    named = docs.withColumn("_neardup_row", F.coalesce(F.col("doc_id").cast("long"), behind))
+    found = near_duplicates(named.select(F.col("_neardup_row").alias("doc_id"), "text")).where("kept")
+    verdict = found.select(F.col("doc_id").alias("_neardup_row")).distinct()
+    return named.join(verdict, "_neardup_row", "left_semi").dropDuplicates(["_neardup_row"]).drop("_neardup_row")

@@ -37,6 +37,7 @@ def test_stages_take_effect(spark, corpus):
     left = {i: t for i, t in texts.items() if i in ids["quality"]}
     leaders = set(components(left).values())
     assert {i for i in ids["near_duplicates"] if i is not None and i < 500} == leaders and max(ids["near_duplicates"].values()) == 1
+    assert ids["near_duplicates"][None] == 1  # the row without an id has a text of its own
     dirty = {i for i in leaders if len(shingles(item) & shingles(texts[i])) >= 0.75 * len(shingles(item))}
     assert len(dirty) == 6 and set(ids["near_duplicates"]) - set(ids["decontamination"]) == dirty
     assert set(ids["mixture"]) <= set(ids["decontamination"]) and max(ids["mixture"].values()) <= 3
