@@ -34,7 +34,7 @@ from fundlake.llm.tables import stored
 from fundlake.llm.text import LOWER, Block, blocks
 
 SAMPLE_ROWS = 20_000
-WINDOW_BYTES, STEP_BYTES = 40, 24
+WINDOW_BYTES, STEP_BYTES = 48, 16
 LEVEL = 1
 BASE_BYTES, BASE_WINDOWS = 8192, 20_000
 PASSAGES = 256
