@@ -38,6 +38,7 @@ TOLERANCE = 0.01
 MOST_OF_SHARD = 0.5
 PIECES = 64
 BUCKET_ROWS = 2000
+FILE_ROWS = 20_000
 #: Keys are (value scaled to 20 bits, 42 bits of hash).
 VALUE_BITS, TIE_BITS = 20, 42
 _SPAN = 1 << (VALUE_BITS + TIE_BITS)
@@ -76,7 +77,9 @@ def assign(docs: DataFrame, n_shards: int | None = None, target_bytes: int | Non
     d = [f"_d{k}" for k in range(len(dimensions))]
     piece = F.pmod(F.xxhash64("doc_id"), F.lit(PIECES)) if "doc_id" in docs.columns else F.lit(0).cast("long")
     rows = docs.select(*docs.columns, *(column.alias(name) for name, column in zip(d, dimensions.values())), *_identity(), piece.alias("_own_piece"))
-    groups = stored(rows.groupBy(*_KEY).agg(F.sum("_g3").alias("_w"), *(F.min(x).alias(x) for x in d)), "groups")
+    # Narrow tables that are read many times come in few files.
+    files = max(4, docs.count() // FILE_ROWS)
+    groups = stored(rows.groupBy(*_KEY).agg(F.sum("_g3").alias("_w"), *(F.min(x).alias(x) for x in d)).coalesce(files), "groups")
     weight, *ranges = groups.agg(F.sum("_w"), *(f(x) for x in d for f in (F.min, F.max))).first()
     weight = weight or 0
     if n_shards is None:
@@ -93,8 +96,8 @@ def assign(docs: DataFrame, n_shards: int | None = None, target_bytes: int | Non
         lo, hi = ranges[2 * k] or 0.0, ranges[2 * k + 1] or 0.0
         level = F.floor((F.col(x) - F.lit(lo)) / F.lit((hi - lo) or 1.0) * F.lit((1 << VALUE_BITS) - 1)).cast("long")
         keys.append(F.shiftleft(level, TIE_BITS) + tie)
-    keyed = stored(points.select(*_KEY, "_piece", "_w", F.array(*keys).alias("_keys"), F.lit(0).cast("long").alias("_node")), "points")
-    placed = stored(_grow(keyed, len(d), n_shards).select(*_KEY, "_piece", F.col("_node").cast("int").alias("_kd_shard")), "placed")
+    keyed = stored(points.select(*_KEY, "_piece", "_w", F.array(*keys).alias("_keys"), F.lit(0).cast("long").alias("_node")).coalesce(files), "points")
+    placed = _grow(keyed, len(d), n_shards).select(*_KEY, "_piece", F.col("_node").cast("int").alias("_kd_shard"))
     named = marked.join(placed, [*_KEY, "_piece"]).select(*docs.columns, F.col("_g3").alias("_kd_size"), "_kd_shard")
     return named, n_shards
 
@@ -109,7 +112,8 @@ def _grow(points: DataFrame, n_dims: int, n_shards: int) -> DataFrame:
             (n, *cuts.get(n, (0, _SPAN // 2)), n + leaves // 2) for n, leaves in open_nodes.items()])
         moved = points.join(F.broadcast(table), "_node", "left")  # one row for each open node
         right = F.get("_keys", F.col("_cut_dim").cast("int")) >= F.col("_cut_at")
-        points = moved.withColumn("_node", F.when(right, F.col("_right")).otherwise(F.col("_node"))).select(points.columns)
+        # Stored level by level, so that no plan holds more than one level's joins.
+        points = stored(moved.withColumn("_node", F.when(right, F.col("_right")).otherwise(F.col("_node"))).select(points.columns), "nodes")
         halves = [half for n, leaves in open_nodes.items() for half in ((n, leaves // 2), (n + leaves // 2, leaves - leaves // 2))]
         open_nodes = {n: leaves for n, leaves in halves if leaves > 1}
     return points
