@@ -40,11 +40,10 @@ from fundlake.llm.tables import stored
 from fundlake.llm.text import _BYTE, Block, blocks, mix, powers, span_hashes
 
 LENGTH = 100
-SHARD_BYTES = 32 << 20
-PART_ANCHORS = 1 << 20
-BUCKET_BYTES = 8 << 20
-#: Text bytes for each byte of segments, at most about this many (a guess that only sizes buckets).
-SEGMENT_SHARE = 1.0
+SHARD_BYTES = 16 << 20
+BLOCK_BYTES = 1 << 19  # a task holds about 120 bytes for each of these
+PART_ANCHORS = 1 << 19
+BUCKET_BYTES = 1 << 20  # of all text; about as much text of segments
 _LAST = (1 << 63) - 1
 
 
@@ -95,14 +94,15 @@ def _unplanes(data: bytes, width: int) -> np.ndarray:
 def _survey(batches: Iterator[pa.RecordBatch], length: int, parts: int) -> Iterator[pa.RecordBatch]:
     """For each block its documents (part -1), and its anchors by hash range."""
     for batch in batches:
-        for block in blocks(batch["text"]):
+        for block in blocks(batch["text"], BLOCK_BYTES):
             at, hashes, of = anchors(block, length)
             if not len(at):
                 continue
             name = uuid.uuid4().hex
             keys, h = (batch[c].slice(block.lo, len(block)).to_numpy() for c in ("key", "h1"))
             rows = {"block": [name], "part": [-1], "hashes": [np.stack((keys, h)).tobytes()], "places": [np.bincount(of, minlength=len(block)).astype("<u4").tobytes()]}
-            part = (hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+            # Anchors are least hashes and lie low, so their range is cut after mixing them again.
+            part = (mix(hashes) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
             order = np.argsort(part, kind="stable")
             cuts = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
             for p in range(parts):
@@ -199,7 +199,7 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterat
 
         for chosen, whole in ((first, True), (later, False)):
             mine = np.flatnonzero(chosen)
-            bucket = (anchor[mine] >> np.uint64(8)) % np.uint64(buckets) if whole else mix(key[mine].view(np.uint64)) % np.uint64(buckets)
+            bucket = mix(anchor[mine]) % np.uint64(buckets) if whole else mix(key[mine].view(np.uint64)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
             for part in np.split(order, np.flatnonzero(np.diff(bucket[order].astype(np.int64))) + 1):
                 if len(part):
@@ -210,7 +210,7 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterat
     half = length // 2
     for batch in batches:
         shared = batch["shared"].to_pylist()
-        for block in blocks(batch["text"]):
+        for block in blocks(batch["text"], BLOCK_BYTES):
             at, hashes, of = anchors(block, length)
             first = np.searchsorted(of, np.arange(len(block)))
             chosen = np.concatenate([first[i] + np.frombuffer(shared[block.lo + i], "<u4").astype(np.int64) for i in range(len(block))])
@@ -337,7 +337,7 @@ def remove(docs: DataFrame, length: int = LENGTH, with_text: bool = False) -> Da
     names = rows.select("key", "h1", F.xxhash64(F.lit(1), "text").alias("h2"), F.octet_length("text").alias("n"))
     n_bytes = names.agg(F.sum("n")).first()[0] or 0
     parts = max(16, int(n_bytes / 26 / PART_ANCHORS) + 1)
-    buckets = max(16, int(n_bytes * SEGMENT_SHARE / BUCKET_BYTES) + 1)
+    buckets = max(64, int(n_bytes / BUCKET_BYTES) + 1)
     leaders = names.groupBy("h1", "h2").agg(F.min("key").alias("leader"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "leader")
     copies = stored(names.join(leaders, ["h1", "h2"]).where("key > leader").select("key", "h1").distinct(), "copies")
 
