@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundlake.llm import bwt
-from fundlake.llm.tables import stored
+from fundlake.llm.tables import discard, stored
 from fundlake.llm.text import _BYTE, Block, blocks, mix, powers, span_hashes
 
 LENGTH = 100
@@ -346,6 +346,7 @@ def remove(docs: DataFrame, length: int = LENGTH, with_text: bool = False) -> Da
     listed = survey.where("part < 0")
     flags = listed.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_by_document, "key long, h1 long, shared binary")
     flags = stored(flags.join(copies, ["key", "h1"], "left_anti"), "shared_anchors")
+    discard(survey)  # the flags are stored; nothing reads the survey again
 
     cut = flags.join(rows.select("doc_id", "key", "h1", "text"), ["key", "h1"]).select("key", "h1", "text", "shared")
     packs = cut.mapInArrow(partial(_cut, length=length, buckets=buckets), _COLUMNS)
