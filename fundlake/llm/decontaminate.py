@@ -2,18 +2,19 @@
 
 A short item inside a long document has a tiny Jaccard similarity with the whole. So items
 are partitioned by size: class c holds items of 2**c to 2**(c+1) - 1 distinct shingles. For
-every class a document is cut into half-overlapping windows of twice the class's largest
-size, so that each passage of an item's length lies whole in some window. A window
-that contains 75 % of an item has Jaccard similarity above 0.15 with it, whatever the
+every class a document is cut into blocks of half the class's largest size, and each three
+blocks in a row are a window, so that every passage of an item's length lies whole in one. A window
+that contains 75 % of an item has Jaccard similarity of 0.23 or more with it, whatever the
 document's length. Of N_MINIMA independent minima at least one agrees then, but for a
-chance below 0.85**64 = 3e-5 (verbatim items: below 1e-7). An item and a document that
+chance below 0.77**40 = 3e-5 (verbatim items: below 1e-7). Blocks of a class are pairs of
+the class below, so minima over all shingles are taken once, for the smallest class. An item and a document that
 agree in a minimum are a candidate pair.
 
 Candidates are verified exactly: shared distinct shingles of the whole document, as text,
 over the item's distinct shingles, must reach ``threshold``.
 
 The documents are read once and never shuffled. What their tasks know of the items is a bitmap
-of BITMAP_BITS bits (8 MB, whatever the number of items): a hit on it is only a reason
+of BITMAP_BITS bits (8 MB, whatever the number of items) and a small one for each class and hash: a hit on it is only a reason
 to send a minimum or a shingle on to the joins with the items, which decide. With very
 many items more rows pass the bitmap, and results stay the same.
 
@@ -25,6 +26,7 @@ document given twice gives one row a pair of ids; rows with a null id are not re
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
@@ -35,9 +37,11 @@ from pyspark.sql import functions as F
 from fundlake.llm.tables import stored
 from fundlake.llm.text import LOWER, SHINGLE_WORDS, blocks, mix, ngram_hashes, word_hashes, words
 
-N_MINIMA = 64
+N_MINIMA = 40
 BITMAP_BITS = 1 << 26
-_SALT = np.random.default_rng(11).integers(1, 1 << 63, 2 * N_MINIMA, dtype=np.uint64) | np.uint64(1)
+COARSE_BITS = 1 << 14
+COARSE_MASK = np.uint32(COARSE_BITS - 1)
+_SALT = np.random.default_rng(11).integers(1, 1 << 32, 2 * N_MINIMA, dtype=np.uint32) | np.uint32(1)
 
 
 def _grams(block):
@@ -46,12 +50,13 @@ def _grams(block):
     return spans, grams, at, np.searchsorted(spans.first, at, side="right") - 1
 
 
-def _permuted(grams: np.ndarray, k: int) -> np.ndarray:
-    return (grams * _SALT[2 * k] + _SALT[2 * k + 1]) >> np.uint64(32)
+def _permuted(low: np.ndarray, k: int) -> np.ndarray:
+    """One of the universal hashes of the shingles' low 32 bits (a bijection of them)."""
+    return (low ^ _SALT[2 * k]) * _SALT[2 * k + 1]
 
 
 def _key(values: np.ndarray, k: int, size_class: int) -> np.ndarray:
-    return mix(values + np.uint64((k << 40) | (size_class << 48)))
+    return mix(values.astype(np.uint64) + np.uint64((k << 40) | (size_class << 48)))
 
 
 def _bit(keys: np.ndarray) -> np.ndarray:
@@ -68,47 +73,76 @@ def _shingle_texts(block, spans, at: np.ndarray) -> list[str]:
 
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = {"item_id": [], "size_class": [], "minima": [], "hashes": [], "shingles": []}
+        rows = {"item_id": [], "size_class": [], "minima": [], "values": [], "hashes": [], "shingles": []}
         for block in blocks(batch["text"]):
             spans, grams, at, owner = _grams(block)
             for i in np.unique(owner):
                 own, where = np.unique(grams[owner == i], return_index=True)
                 size_class = len(own).bit_length() - 1
-                keys = [int(_key(_permuted(own, k).min(keepdims=True), k, size_class).view(np.int64)[0]) for k in range(N_MINIMA)]
-                for name, value in zip(rows, (batch["item_id"][block.lo + int(i)].as_py(), size_class, keys, own.view(np.int64).tolist(),
+                least = [_permuted(own.astype(np.uint32), k).min(keepdims=True) for k in range(N_MINIMA)]
+                keys = [int(_key(value, k, size_class).view(np.int64)[0]) for k, value in enumerate(least)]
+                low = [int(value[0] & COARSE_MASK) for value in least]
+                for name, value in zip(rows, (batch["item_id"][block.lo + int(i)].as_py(), size_class, keys, low, own.view(np.int64).tolist(),
                                               sorted(set(_shingle_texts(block, spans, at[owner == i][where]))))):
                     rows[name].append(value)
         yield pa.RecordBatch.from_pydict(rows, _ITEM_SCHEMA)
 
 
-_ITEM_SCHEMA = pa.schema([("item_id", pa.int64()), ("size_class", pa.int32()), ("minima", pa.list_(pa.int64())),
+_ITEM_SCHEMA = pa.schema([("item_id", pa.int64()), ("size_class", pa.int32()), ("minima", pa.list_(pa.int64())), ("values", pa.list_(pa.int32())),
                           ("hashes", pa.list_(pa.int64())), ("shingles", pa.list_(pa.string()))])
 _FOUND_SCHEMA = pa.schema([("doc_id", pa.int64()), ("minima", pa.list_(pa.int64())), ("shingles", pa.list_(pa.string()))])
 
 
+@dataclass
+class _Level:
+    """Blocks of one class: starts (of the level below), document, and blocks whose next and next but one are of it too."""
+
+    size_class: int
+    starts: np.ndarray
+    owner: np.ndarray
+    follows: tuple[np.ndarray, np.ndarray]
+
+
+def _levels(owner: np.ndarray, classes: list[int]) -> list[_Level]:
+    """Of shingles in document order, for every class from the smallest to the largest."""
+    out = []
+    for c in range(min(classes), max(classes) + 1) if classes else ():
+        # Half of the class's largest size; then two blocks of the class below.
+        position = np.arange(len(owner)) - np.searchsorted(owner, owner)
+        starts = np.flatnonzero(position % ((1 << c) if not out else 2) == 0)
+        owner = owner[starts]
+        out.append(_Level(c, starts, owner, tuple(owner[far:] == owner[:-far] for far in (1, 2))))
+    return out
+
+
 def _find(batches: Iterator[pa.RecordBatch], bitmap, classes: list[int]) -> Iterator[pa.RecordBatch]:
     """For each document with a minimum on the bitmap: those minima, and its shingles on the bitmap."""
-    known = np.unpackbits(np.frombuffer(bitmap.value, np.uint8)).view(bool)
+    known, coarse = bitmap.value
+    known = np.unpackbits(np.frombuffer(known, np.uint8)).view(bool)
+    coarse = {at: np.unpackbits(np.frombuffer(bits, np.uint8)).view(bool) for at, bits in coarse.items()}
     for batch in batches:
         rows = {"doc_id": [], "minima": [], "shingles": []}
         for block in blocks(batch["text"]):
             spans, grams, at, owner = _grams(block)
             hits: list[tuple[np.ndarray, np.ndarray]] = []
-            position = np.arange(len(grams)) - np.searchsorted(owner, owner)
-            for c in classes:
-                half = 2 << c  # the class's largest size, rounded up
-                starts = np.flatnonzero(np.diff(owner, prepend=-1).astype(bool) | (position % half == 0))
-                if not len(starts):
-                    continue
-                of = owner[starts]
-                follows = np.append(of[1:] == of[:-1], False)
-                for k in range(N_MINIMA):
-                    least = np.minimum.reduceat(_permuted(grams, k), starts)
-                    least[:-1] = np.where(follows[:-1], np.minimum(least[:-1], least[1:]), least[:-1])
-                    keys = _key(least, k, c)
-                    on = np.flatnonzero(known[_bit(keys)])
+            levels = _levels(owner, classes) if len(grams) else []
+            low = grams.astype(np.uint32)
+            for k in range(N_MINIMA if levels else 0):
+                least = np.minimum.reduceat(_permuted(low, k), levels[0].starts)
+                for level in levels:
+                    if level.starts is not levels[0].starts:
+                        least = np.minimum.reduceat(least, level.starts)
+                    if level.size_class not in classes:
+                        continue
+                    window = least.copy()
+                    for far, near in enumerate(level.follows, 1):
+                        np.minimum(window[:-far], least[far:], out=window[:-far], where=near)
+                    on = np.flatnonzero(coarse[level.size_class, k][window & COARSE_MASK])
                     if len(on):
-                        hits.append((of[on], keys[on]))
+                        keys = _key(window[on], k, level.size_class)
+                        sure = known[_bit(keys)]
+                        hits.append((level.owner[on[sure]], keys[sure]))
+            hits = [hit for hit in hits if len(hit[0])]
             if not hits:
                 continue
             docs, keys = (np.concatenate(x) for x in zip(*hits))
@@ -132,6 +166,17 @@ def _bitmap(items: DataFrame) -> bytes:
     return np.packbits(np.unpackbits(out.view(np.uint8), bitorder="little")).tobytes()
 
 
+def _coarse(items: DataFrame) -> dict[tuple[int, int], bytes]:
+    """For each class and hash function the items' minima modulo COARSE_BITS: a bitmap that stays in a core's cache."""
+    low = items.select("size_class", F.posexplode("values").alias("k", "low"))
+    rows = low.groupBy("size_class", "k", F.shiftright("low", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(low & 63 AS INT))")).alias("bits")).collect()
+    out: dict[tuple[int, int], np.ndarray] = {}
+    for c, k, at, bits in rows:  # at most classes * N_MINIMA * COARSE_BITS / 64
+        out.setdefault((c, k), np.zeros(COARSE_BITS // 64, np.int64))[at] = bits
+    full = {at: np.packbits(np.unpackbits(bits.view(np.uint8), bitorder="little")).tobytes() for at, bits in out.items()}
+    return {(c, k): full[c, k] for c, k in full}
+
+
 def _with_mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _items(batches):
         flat = batch["hashes"].values.to_numpy(zero_copy_only=False).view(np.uint64)
@@ -144,10 +189,10 @@ def containments(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.75)
     spark = docs.sparkSession
     items = stored(
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null")
-        .mapInArrow(_with_mixed, "item_id long, size_class int, minima array<long>, hashes array<long>, shingles array<string>, mixed array<long>"),
+        .mapInArrow(_with_mixed, "item_id long, size_class int, minima array<long>, values array<int>, hashes array<long>, shingles array<string>, mixed array<long>"),
         "items")
     classes = sorted(r[0] for r in items.select("size_class").distinct().collect())  # at most 64
-    bitmap = spark.sparkContext.broadcast(_bitmap(items))
+    bitmap = spark.sparkContext.broadcast((_bitmap(items), _coarse(items)))
     found = stored(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
         .mapInArrow(partial(_find, bitmap=bitmap, classes=classes), "doc_id long, minima array<long>, shingles array<string>"), "found")
@@ -162,6 +207,6 @@ def containments(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.75)
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.75) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item; rows without doc_id are looked at by text."""
-    named = docs.withColumn("_row_key", F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")))
-    found = containments(named.select(F.col("_row_key").alias("doc_id"), "text"), benchmark, threshold)
-    return named.join(found.select(F.col("doc_id").alias("_row_key")).distinct(), "_row_key", "left_anti").drop("_row_key")
+    named = docs.withColumn("_decontamination_row", F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")))
+    found = containments(named.select(F.col("_decontamination_row").alias("doc_id"), "text"), benchmark, threshold)
+    return named.join(found.select(F.col("doc_id").alias("_decontamination_row")).distinct(), "_decontamination_row", "left_anti").drop("_decontamination_row")
