@@ -8,7 +8,7 @@ Texts are parsed in pieces of PIECE symbols, all pieces of a block in lockstep:
 operation moves every piece by one symbol. A piece ends a phrase, for all languages alike.
 Symbols are lower-cased letters; any run of other characters is one separator.
 
-Bounds: at most SAMPLE_TEXTS texts a language, of each its first SAMPLE_PREFIX characters
+Bounds: at most SAMPLE_TEXTS distinct texts a language, of each its first SAMPLE_PREFIX characters
 (training rows only), TOTAL_SYMBOLS symbols for all languages together. That also bounds an
 automaton's table in a worker. Whole texts are parsed, in one pass without a shuffle.
 
@@ -168,11 +168,15 @@ def _predict(batches: Iterator[pa.RecordBatch], samples) -> Iterator[pa.RecordBa
 def learn(labelled: DataFrame) -> tuple[tuple[str, str], ...]:
     """(language, sample) pairs of (text, lang) rows. The vocabulary of languages must fit the driver."""
     usable = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    # row_number() = bound is cut in each task before the exchange: no language gathers its rows.
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), F.substring("text", 1, 64))
-    first = usable.select("lang", F.substring("text", 1, SAMPLE_PREFIX).alias("part"), F.row_number().over(order).alias("n")).where(F.col("n") <= SAMPLE_TEXTS)
+    hashed = usable.select("lang", "text", F.xxhash64("text").alias("hash"))
+    # Copies count once, however many: only distinct hashes are ranked. row_number() <= bound is cut in each
+    # task before the exchange, so no language gathers its rows.
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash")).alias("n")
+    chosen = hashed.select("lang", "hash").distinct().select("lang", "hash", rank).where(F.col("n") <= SAMPLE_TEXTS).select("lang", "hash")
+    # At most SAMPLE_TEXTS rows a language are broadcast; copies of a chosen text meet map-side.
+    first = hashed.join(F.broadcast(chosen), ["lang", "hash"]).groupBy("lang", "hash").agg(F.min(F.substring("text", 1, SAMPLE_PREFIX)).alias("part"))
     parts: dict[str, list[str]] = {}
-    for lang, part, _ in sorted(first.collect(), key=lambda r: (r[0], r[2])):
+    for lang, _, part in sorted(first.collect()):
         parts.setdefault(lang, []).append(part)
     share = TOTAL_SYMBOLS // max(1, len(parts))
     return tuple((lang, "\n".join(dict.fromkeys(texts))[:share]) for lang, texts in sorted(parts.items()))

@@ -26,6 +26,15 @@ def test_language_of_held_out_texts(spark):
     assert language.identify(table(spark, []), samples).count() == 0
 
 
+def test_copies_take_one_place_of_the_language_sample(spark):
+    texts = [prose(k, 20) for k in range(40)]
+    # Among the first by hash, so that copies would take all places behind it.
+    hashes = spark.createDataFrame([(t,) for t in texts], "text STRING").select("text", F.xxhash64("text").alias("h")).orderBy("h").collect()
+    rows = [(t, "aa") for t in texts] + [(hashes[1].text, "aa")] * 1000
+    (_, sample), = language.learn(spark.createDataFrame(rows, "text STRING, lang STRING").repartition(5))
+    assert sorted(sample.split("\n")) == sorted(texts)
+
+
 def test_cross_parsing_matches_greedy_search():
     sample, probe = prose(1, 120, "abc"), prose(2, 30, "abcd")
     number, width, tables = language._model((("x", sample),))
