@@ -13,11 +13,15 @@ Order of starts: doc_id, then position. The steps:
    together, and where an anchor has several different ones, the shards' Burrows-Wheeler transforms are
    merged by interleave refinement (``bwt.merge``). The repeated intervals of LENGTH bytes give the
    repeated windows: all but the earliest of each interval.
+   An anchor that occurs over HOT_TIMES times would bring a segment from each document where its neighbours
+   differ. Its segments are taken apart into windows instead, which meet by their own hashes in all buckets:
+   only the earliest start of a window leaves a slice of a shard, the later ones are known to be repeats.
 5. Repeated runs go back to their documents, which are read a last time to cut them out.
 
-No step gathers a popular passage: it reaches a bucket at most once from each shard. Candidate
-filters use hashes; what is removed is compared byte by byte in step 4 (equal segments by 64-bit hashes of
-150 bytes within a bucket, whole texts by 128 bits).
+So neither a popular passage nor its edges are gathered in step 4: a bucket gets at most HOT_TIMES segments of an anchor, and
+each window of the others once from each slice of a shard. Candidate filters use hashes; what is removed is compared
+byte by byte in step 4 (equal segments by 64-bit hashes of 150 bytes within a bucket, whole texts and the
+windows of hot anchors by 128 bits). Step 2 still brings 10 bytes for each occurrence of an anchor to one task.
 
 Defined cases: null text is empty; texts shorter than LENGTH keep all; rows without doc_id come after
 all others; of rows with one doc_id the order is that of a hash of the text, and a repeated row counts as a later copy.
@@ -44,6 +48,9 @@ SHARD_BYTES = 16 << 20
 BLOCK_BYTES = 1 << 19  # a task holds about 120 bytes for each of these
 PART_ANCHORS = 1 << 19
 BUCKET_BYTES = 1 << 20  # of all text; about as much text of segments
+HOT_TIMES = 2048  # some 300 kB of segments
+WINDOW_SLICE = 1 << 14  # segments taken apart at a time
+_BYTE2 = np.random.default_rng(20240301).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _LAST = (1 << 63) - 1
 
 
@@ -113,37 +120,41 @@ def _survey(batches: Iterator[pa.RecordBatch], length: int, parts: int) -> Itera
             yield pa.RecordBatch.from_pydict(rows, pa.schema([("block", pa.string()), ("part", pa.int32()), ("hashes", pa.binary()), ("places", pa.binary())]))
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """Of one hash range: the anchors of each block whose hash occurs twice."""
+def _shared(table: pa.Table, hot: int) -> pa.Table:
+    """Of one hash range: the anchors of each block whose hash occurs twice, and those whose hash occurs over ``hot`` times."""
     hashes = [_unplanes(x, 6) for x in table["hashes"].to_pylist()]
     places = [_unplanes(x, 4) for x in table["places"].to_pylist()]
     joined = np.concatenate(hashes)
     ordered = np.sort(joined)
     twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-    out = {"block": [], "places": []}
+    often = np.unique(ordered[hot:][ordered[hot:] == ordered[: max(len(ordered) - hot, 0)]])
+    out = {"block": [], "places": [], "hot": []}
     for name, own, at in zip(table["block"].to_pylist(), hashes, places):
         if len(twice):
             found = twice[np.minimum(np.searchsorted(twice, own), len(twice) - 1)] == own
             if found.any():
                 out["block"].append(name)
                 out["places"].append(_planes(at[found], 4))
-    return pa.table(out, pa.schema([("block", pa.string()), ("places", pa.binary())]))
+                out["hot"].append(_planes(at[np.isin(own, often)], 4) if len(often) else b"")
+    return pa.table(out, pa.schema([("block", pa.string()), ("places", pa.binary()), ("hot", pa.binary())]))
 
 
 def _by_document(listed: pa.Table, shared: pa.Table) -> pa.Table:
-    """The shared anchors of each document of one block, as numbers within the document."""
-    out = {"key": [], "h1": [], "shared": []}
+    """The shared anchors of each document of one block, as numbers within the document, and which of them are hot."""
+    out = {"key": [], "h1": [], "shared": [], "hot": []}
     if len(listed) and len(shared):
         keys, h = np.frombuffer(listed["hashes"][0].as_py(), np.int64).reshape(2, -1)
         counts = np.frombuffer(listed["places"][0].as_py(), "<u4").astype(np.int64)
         first = np.concatenate(([0], np.cumsum(counts)))
         places = np.sort(np.concatenate([_unplanes(x, 4) for x in shared["places"].to_pylist()]).astype(np.int64))
+        hot = np.isin(places, np.concatenate([_unplanes(x, 4) for x in shared["hot"].to_pylist()]).astype(np.int64))
         cuts = np.searchsorted(places, first)
         for i in np.flatnonzero(np.diff(cuts)):
             out["key"].append(int(keys[i]))
             out["h1"].append(int(h[i]))
             out["shared"].append((places[cuts[i] : cuts[i + 1]] - first[i]).astype("<u4").tobytes())
-    return pa.table(out, pa.schema([("key", pa.int64()), ("h1", pa.int64()), ("shared", pa.binary())]))
+            out["hot"].append((places[cuts[i] : cuts[i + 1]][hot[cuts[i] : cuts[i + 1]]] - first[i]).astype("<u4").tobytes())
+    return pa.table(out, pa.schema([("key", pa.int64()), ("h1", pa.int64()), ("shared", pa.binary()), ("hot", pa.binary())]))
 
 
 _PACK = pa.schema([("bucket", pa.int64()), ("anchor", pa.binary()), ("key", pa.binary()), ("h1", pa.binary()), ("at", pa.binary()), ("size", pa.binary()), ("text", pa.binary())])
@@ -177,14 +188,15 @@ def _first_of_equal(anchor, seg, key, h, at) -> tuple[np.ndarray, np.ndarray]:
 def _cut(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Segments around shared anchors, once a shard, packed by bucket; repeats within the shard as runs.
 
-    A run travels as a pack without anchors, in a bucket of its own choice.
+    A run travels as a pack without anchors, in a bucket of its own choice; windows of hot anchors as a pack
+    without sizes, with their two hashes in place of anchor and text.
     """
     held: list[tuple] = []
     size = 0
 
     def flush() -> Iterator[pa.RecordBatch]:
-        anchor, seg, key, h, at, n = (np.concatenate([part[k] for part in held]) for k in range(6))
-        text = np.concatenate([part[6] for part in held])
+        anchor, seg, key, h, at, n, hot = (np.concatenate([part[k] for part in held]) for k in range(7))
+        text = np.concatenate([part[7] for part in held])
         begin = np.cumsum(n) - n
         first, later = _first_of_equal(anchor, seg, key, h, at)
         rows = {name: [] for name in _PACK.names}
@@ -193,11 +205,11 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterat
             body = b""
             if whole:
                 body = text[np.repeat(begin[mine] - (np.cumsum(n[mine]) - n[mine]), n[mine]) + np.arange(n[mine].sum())].tobytes()
-            values = (int(bucket), anchor[mine].tobytes() if whole else b"", key[mine].tobytes(), h[mine].tobytes(), at[mine].astype("<u4").tobytes(), n[mine].astype("<u2").tobytes(), body)
+            values = (int(bucket), anchor[mine].tobytes() if whole else b"", key[mine].tobytes(), h[mine].tobytes(), at[mine].astype("<u4").tobytes(), n[mine].astype("<u2" if whole else "<u4").tobytes(), body)
             for name, value in zip(rows, values):
                 rows[name].append(value)
 
-        for chosen, whole in ((first, True), (later, False)):
+        for chosen, whole in ((first & ~hot, True), (later, False)):
             mine = np.flatnonzero(chosen)
             bucket = mix(anchor[mine]) % np.uint64(buckets) if whole else mix(key[mine].view(np.uint64)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
@@ -206,20 +218,25 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterat
                     pack(bucket[part[0]], mine[part], whole)
         held.clear()
         yield pa.RecordBatch.from_pydict(rows, _PACK)
+        apart = np.flatnonzero(first & hot)
+        for s in range(0, len(apart), WINDOW_SLICE):
+            mine = apart[s : s + WINDOW_SLICE]
+            yield _windows(text, begin[mine], n[mine], key[mine], h[mine], at[mine], length, buckets)
 
     half = length // 2
     for batch in batches:
-        shared = batch["shared"].to_pylist()
+        shared, often = batch["shared"].to_pylist(), batch["hot"].to_pylist()
         for block in blocks(batch["text"], BLOCK_BYTES):
             at, hashes, of = anchors(block, length)
             first = np.searchsorted(of, np.arange(len(block)))
-            chosen = np.concatenate([first[i] + np.frombuffer(shared[block.lo + i], "<u4").astype(np.int64) for i in range(len(block))])
+            chosen, hot = (np.concatenate([first[i] + np.frombuffer(x[block.lo + i], "<u4").astype(np.int64) for i in range(len(block))]) for x in (shared, often))
+            hot = np.isin(chosen, hot)
             at, hashes, of = at[chosen], hashes[chosen], of[chosen]
             lo, hi = np.maximum(at - half, block.offsets[of]), np.minimum(at + length, block.offsets[of + 1])
             n = hi - lo
             keys, h = (batch[c].slice(block.lo, len(block)).to_numpy()[of] for c in ("key", "h1"))
             text = block.data[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-            held.append((hashes, span_hashes(block.data, lo, hi), keys, h, lo - block.offsets[of], n, text))
+            held.append((hashes, span_hashes(block.data, lo, hi), keys, h, lo - block.offsets[of], n, hot, text))
             size += len(block.data)
             if size >= SHARD_BYTES:
                 yield from flush()
@@ -228,15 +245,60 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterat
         yield from flush()
 
 
+def _windows(text, begin, n, key, h, at, length: int, buckets: int) -> pa.RecordBatch:
+    """The windows of segments: the earliest of equal ones packed by bucket, the others as runs."""
+    count = n - length + 1
+    of = np.repeat(np.arange(len(n)), count)
+    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    w1, w2 = np.empty(len(of), np.uint64), np.empty(len(of), np.uint64)
+    # In pieces of segments, whose bytes stay near each other and few.
+    data = text[np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+    start = (np.cumsum(n) - n)[of] + step
+    piece = 1 << 16
+    for s in range(0, len(of), piece):
+        mine = start[s : s + piece]
+        low, high = mine[0], mine[-1] + length
+        for out, table in ((w1, _BYTE), (w2, _BYTE2)):
+            out[s : s + piece] = span_hashes(data[low:high], mine - low, mine - low + length, table)
+    first, later = _first_of_equal(w1, w2, key[of], h[of], at[of] + step)
+    rows = {name: [] for name in _PACK.names}
+    mine = np.flatnonzero(first)
+    bucket = mix(w1[mine]) % np.uint64(buckets)
+    order = np.argsort(bucket, kind="stable")
+    for part in np.split(order, np.flatnonzero(np.diff(bucket[order].astype(np.int64))) + 1):
+        if len(part):
+            x = mine[part]
+            values = (int(bucket[part[0]]), w1[x].tobytes(), key[of[x]].tobytes(), h[of[x]].tobytes(), (at[of[x]] + step[x]).astype("<u4").tobytes(), b"", w2[x].tobytes())
+            for name, value in zip(rows, values):
+                rows[name].append(value)
+    k, hh, lo, hi = _union(key[of[later]], h[of[later]], (at[of] + step)[later], (at[of] + step)[later] + length)
+    bucket = mix(k.view(np.uint64)) % np.uint64(buckets)
+    order = np.argsort(bucket, kind="stable")
+    for x in np.split(order, np.flatnonzero(np.diff(bucket[order].astype(np.int64))) + 1):
+        if len(x):
+            values = (int(bucket[x[0]]), b"", k[x].tobytes(), hh[x].tobytes(), lo[x].astype("<u4").tobytes(), (hi - lo)[x].astype("<u4").tobytes(), b"")
+            for name, value in zip(rows, values):
+                rows[name].append(value)
+    return pa.RecordBatch.from_pydict(rows, _PACK)
+
+
 def _bucket(table: pa.Table, length: int) -> pa.Table:
-    """The repeated runs that the segments of one bucket show."""
+    """The repeated runs that the segments and windows of one bucket show."""
     packs = [p for p in table.to_pylist()]
     done = [p for p in packs if not p["anchor"]]
-    packs = [p for p in packs if p["anchor"]]
+    apart = [p for p in packs if p["anchor"] and not p["size"]]
+    packs = [p for p in packs if p["anchor"] and p["size"]]
     read = lambda name, kind, of: [np.frombuffer(p[name], kind) for p in of]
     out_key, out_h = read("key", np.int64, done), read("h1", np.int64, done)
     out_lo = [x.astype(np.int64) for x in read("at", "<u4", done)]
-    out_hi = [lo + x for lo, x in zip(out_lo, read("size", "<u2", done))]
+    out_hi = [lo + x for lo, x in zip(out_lo, read("size", "<u4", done))]
+    if apart:
+        w1, w2, key, h, at = (np.concatenate(read(name, kind, apart)) for name, kind in (("anchor", np.uint64), ("text", np.uint64), ("key", np.int64), ("h1", np.int64), ("at", "<u4")))
+        _, again = _first_of_equal(w1, w2, key, h, at)
+        out_key.append(key[again])
+        out_h.append(h[again])
+        out_lo.append(at[again].astype(np.int64))
+        out_hi.append(at[again].astype(np.int64) + length)
     if packs:
         anchor, key, h = (np.concatenate(read(name, kind, packs)) for name, kind in (("anchor", np.uint64), ("key", np.int64), ("h1", np.int64)))
         at, n = (np.concatenate(read(name, kind, packs)).astype(np.int64) for name, kind in (("at", "<u4"), ("size", "<u2")))
@@ -329,7 +391,7 @@ def _apply(batches: Iterator[pa.RecordBatch], length: int, with_text: bool) -> I
             yield pa.RecordBatch.from_arrays([*columns, *(pa.array(v, pa.string() if k.startswith("kept") else pa.int64()) for k, v in rows.items())], names=["doc_id", "key", "h1", *rows])
 
 
-def remove(docs: DataFrame, length: int = LENGTH, with_text: bool = False) -> DataFrame:
+def remove(docs: DataFrame, length: int = LENGTH, with_text: bool = False, hot: int = HOT_TIMES) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text (null unless asked for)."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("key"),
@@ -342,13 +404,13 @@ def remove(docs: DataFrame, length: int = LENGTH, with_text: bool = False) -> Da
     copies = stored(names.join(leaders, ["h1", "h2"]).where("key > leader").select("key", "h1").distinct(), "copies")
 
     survey = stored(rows.select("key", "h1", "text").mapInArrow(partial(_survey, length=length, parts=parts), "block string, part int, hashes binary, places binary"), "survey")
-    shared = survey.where("part >= 0").groupBy("part").applyInArrow(_shared, "block string, places binary")
+    shared = survey.where("part >= 0").groupBy("part").applyInArrow(lambda table: _shared(table, hot), "block string, places binary, hot binary")
     listed = survey.where("part < 0")
-    flags = listed.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_by_document, "key long, h1 long, shared binary")
+    flags = listed.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_by_document, "key long, h1 long, shared binary, hot binary")
     flags = stored(flags.join(copies, ["key", "h1"], "left_anti"), "shared_anchors")
     discard(survey)  # the flags are stored; nothing reads the survey again
 
-    cut = flags.join(rows.select("doc_id", "key", "h1", "text"), ["key", "h1"]).select("key", "h1", "text", "shared")
+    cut = flags.join(rows.select("doc_id", "key", "h1", "text"), ["key", "h1"]).select("key", "h1", "text", "shared", "hot")
     packs = cut.mapInArrow(partial(_cut, length=length, buckets=buckets), _COLUMNS)
     runs = packs.groupBy("bucket").applyInArrow(lambda table: _bucket(table, length), "key long, h1 long, runs binary")
     found = runs.withColumn("copy", F.lit(False)).unionByName(copies.select("key", "h1", F.lit(None).cast("binary").alias("runs"), F.lit(True).alias("copy")))

@@ -120,10 +120,10 @@ def words(block: Block) -> Words:
     return runs(WORD[block.data], block.offsets)
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, of_byte: np.ndarray = _BYTE) -> np.ndarray:
     """A 64-bit hash of each byte span, equal for equal bytes wherever they stand."""
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * powers("up", len(data)), out=total[1:])
+    np.cumsum(of_byte[data] * powers("up", len(data)), out=total[1:])
     return mix((total[end] - total[start]) * powers("down", len(data) + 1)[start] + (end - start).astype(np.uint64))
 
 

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 from fundlake.llm import bwt, compression, decontaminate, neardup, repeats, tables, text
@@ -153,6 +154,32 @@ def test_repeated_passages_match_brute_force(spark, length, monkeypatch):
     assert sorted(tuple(r)[:5] for r in got) == plain_removal(rows, length)
 
 
+@pytest.mark.parametrize("length", [20, 100])
+def test_hot_anchors_give_the_same_removals(spark, length):
+    passage = prose(7, 60)
+    rows = [(k, f"{prose(30 + k, 9)} {passage[k % 3 :]} {prose(60 + k, 7)} {passage[k : k + 120]}") for k in range(40)]
+    rows += [(50, rows[3][1]), (51, "ab" * 150), (52, "ab" * 90 + "c"), (53, passage), (54, "é" * 70 + "x"), (55, None), (56, passage[:99]), (57, prose(9, 12) * 2)]
+    got = repeats.remove(table(spark, rows), length, hot=5).collect()
+    assert sorted(tuple(r)[:5] for r in got) == plain_removal(rows, length)
+
+
+def test_no_bucket_gathers_the_edges_of_a_passage():
+    passage, n, length, buckets = prose(7, 60), 600, 100, 64
+    texts = [f"{prose(1000 + k, 20)} {passage} {prose(5000 + k, 20)}" for k in range(n)]
+    rows = pa.RecordBatch.from_pydict({"key": list(range(n)), "h1": [7] * n, "text": texts})
+    blocks = pa.Table.from_batches(list(repeats._survey([rows], length, 1)))
+    most = {}
+    for hot in (1 << 30, 50):
+        shared = repeats._shared(blocks.filter(pa.compute.greater_equal(blocks["part"], 0)), hot)
+        flags = repeats._by_document(blocks.filter(pa.compute.less(blocks["part"], 0)), shared).sort_by("key")
+        cut = pa.RecordBatch.from_arrays([flags[c].combine_chunks() for c in ("key", "h1")] + [pa.array([texts[k] for k in flags["key"].to_pylist()])] +
+                                         [flags[c].combine_chunks() for c in ("shared", "hot")], names=["key", "h1", "text", "shared", "hot"])
+        packs = pa.Table.from_batches(list(repeats._cut([cut], length, buckets))).to_pylist()
+        size = [sum(len(p["text"]) for p in packs if p["bucket"] == b) for b in range(buckets)]
+        most[hot] = max(size) / (sum(size) / buckets)
+    assert most[1 << 30] > 10 and most[50] < 3
+
+
 def test_repeated_passages_of_awkward_rows(spark):
     rows = AWKWARD + [(10, "x" * 500), (None, "x" * 400), (11, prose(1, 40)), (11, prose(1, 40))]
     got = sorted((r.doc_id or 99, r.n_bytes, r.n_removed) for r in repeats.remove(table(spark, rows)).collect())
