@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import random
 
@@ -130,6 +131,33 @@ def test_compression_bands(spark):
     assert len(got) == len(texts) and compression.judge(table(spark, [])).count() == 0
 
 
+def encoded(kind: str, n: int, seed: int) -> str:
+    rng = random.Random(seed)
+    if kind == "hex":
+        return rng.randbytes(n).hex()[:n]
+    if kind == "letters":
+        return prose(seed, n, "abcdefghijklmnopqrstuvwxyz")[:n]
+    data = base64.b64encode(rng.randbytes(n)).decode()
+    return " ".join(data[k : k + 9] for k in range(0, n, 9))[:n]
+
+
+def test_compression_bands_follow_the_corpus(spark):
+    # Ordinary text: words by a skewed law, so ratios are above those of random letters.
+    rng = random.Random(3)
+    lexicon = prose(11, 3000, "abcdefghijklmnopqrstuvwxyz").split()
+    ordinary = lambda n: " ".join(lexicon[int(3000 ** rng.random()) - 1] for _ in range(n // 4))[:n]
+    texts = {k: ordinary(n) for k, n in enumerate([2400] * 60 + [5500] * 60 + [20_000] * 60)}
+    texts[170] = ordinary(500)
+    for j, kind in enumerate(("hex", "letters", "base64")):
+        texts |= {200 + 10 * j + k: encoded(kind, n, k) for k, n in enumerate((2400, 5500, 20_000))}
+        texts |= {300 + 10 * j + k: ordinary(int(20_000 * (1 - part))) + " " + encoded(kind, int(20_000 * part), k) for k, part in enumerate((0.3, 0.4, 0.5))}
+    texts |= {400 + k: ordinary(n // 20) * 20 for k, n in enumerate((2400, 5500, 20_000))}
+    texts[500] = encoded("hex", 300_000, 5)  # a class with few members
+    got = {r.doc_id: r.in_band for r in compression.judge(table(spark, texts)).collect()}
+    assert not [i for i in texts if i >= 200 and got[i]]
+    assert sum(got[i] for i in range(180)) >= 176
+
+
 def plain_removal(rows: list[tuple], length: int) -> list[tuple]:
     seen, out = set(), []
     for i, t in rows:
