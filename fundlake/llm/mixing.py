@@ -8,10 +8,13 @@ Nonnegative rates r (how often a document is to be used) then solve
 with n_i the words of a document, N their total and share_d the domain's share at rates of 1: expected
 domain totals meet the targets, and among such rates the ones closest to using each document once are taken.
 
-The descent is accelerated projected gradient in the metric n_i / N, in which a step depends on the
-domain residuals only. Divided by the shares, the largest eigenvalue of the squares is 1 (its vector has
-only positive entries), which gives the step, and domains of any size settle about equally fast. So a document's rate is a fold of the residuals so far, and an
-iteration is one aggregate over (n_i, p_i): nothing but D sums reaches the driver, nothing is rewritten.
+At the optimum r_i = max(0, 1 - p_i . g / RIDGE), where g are D residuals that maximise the dual, a smooth concave
+function with a piecewise constant Hessian. So Newton's method with step halving runs on D numbers: an iteration is one
+aggregate over (n_i, p_i) that gives value, gradient and Hessian (D * D sums reach the driver), nothing is rewritten,
+and a document's rate depends on g alone. The duality gap of these rates is 1/2 * sum_d gradient_d^2 / share_d; the
+iterations end when it is at most GAP, which bounds the weighted mean square distance of the rates from the optimum by
+2 * GAP / RIDGE, or when no step raises the dual any more in floating point, which is logged. So are the reached domain totals
+beside the targets.
 
 The fit of the classifier is bounded (about SAMPLE_ROWS rows, parameter ``rows``); everything
 else covers all documents. Defined cases: null texts are empty, have no words and keep
@@ -21,7 +24,7 @@ apart and their weight goes to the others; without a classifier all rates are 1.
 
 from __future__ import annotations
 
-import json
+import logging
 from collections.abc import Iterator
 from functools import partial
 
@@ -40,8 +43,9 @@ SAMPLE_ROWS = 6000
 STEPS = 80
 PENALTY = 1e-5
 RIDGE = 0.01
-ITERATIONS = 40
-TOLERANCE = 1e-3
+GAP = 1e-11
+MISS = 0.01
+logger = logging.getLogger(__name__)
 
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,19 +113,52 @@ def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
-def _rate(history: list[tuple[list[float], float]], step: float) -> Column:
-    """A document's rate after the steps of ``history`` ((residuals, momentum) each), and the point ahead of it."""
-    p, start = F.col("_mix_posterior"), F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y"))
-    if not history:
-        return start
-    # One literal, however long the history.
-    steps = F.from_json(F.lit(json.dumps([{"g": res, "b": beta} for res, beta in history])), "array<struct<g:array<double>,b:double>>")
+def _rate(g: np.ndarray) -> Column:
+    """A document's rate at the residuals ``g``."""
+    return F.greatest(F.lit(0.0), 1.0 - _dot(F.col("_mix_posterior"), F.array(*map(F.lit, g.tolist()))) / RIDGE)
 
-    def advance(state: Column, s: Column) -> Column:
-        moved = F.greatest(F.lit(0.0), state["y"] - step * (_dot(p, s["g"]) + RIDGE * (state["y"] - 1.0)))
-        return F.struct(moved.alias("r"), (moved + s["b"] * (moved - state["r"])).alias("y"))
 
-    return F.aggregate(steps, start, advance)
+def solve(points: DataFrame, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """The residuals g that give the rates, the domain totals at these rates (shares of all words), and their duality gap."""
+    k = len(wanted)
+    total = points.agg(F.sum("_mix_tokens")).first()[0] or 0
+    if not total:
+        return np.zeros(k), np.zeros(k), 0.0
+    t, p = F.col("_mix_tokens"), [F.get("_mix_posterior", F.lit(d)) for d in range(k)]
+    upper = [(d, e) for d in range(k) for e in range(d, k)]
+
+    def at(g):
+        # Of a document: n_i * (RIDGE/2 * (r - 1)^2 + r * p.g), n_i r p_d, and n_i p_d p_e where r > 0.
+        r = F.col("r")
+        value = F.sum(t * (RIDGE / 2 * (r - 1) * (r - 1) + r * _dot(F.col("_mix_posterior"), F.array(*map(F.lit, g.tolist())))))
+        sums = points.withColumn("r", _rate(g)).agg(value, *(F.sum(t * r * x) for x in p), *(F.sum(F.when(r > 0, t * p[d] * p[e]).otherwise(0.0)) for d, e in upper)).first()
+        found = np.array(sums, float) / total
+        curve = np.zeros((k, k))
+        for (d, e), x in zip(upper, found[1 + k :]):
+            curve[d, e] = curve[e, d] = x
+        return found[0], found[1 : 1 + k], curve
+
+    g = np.zeros(k)
+    value, reached, curve = at(g)
+    share = np.maximum(reached, 1e-9)  # at rates of 1
+    while True:
+        gradient = reached - wanted - share * g
+        gap = float((gradient**2 / share).sum() / 2)
+        if gap <= GAP:
+            break
+        step = np.linalg.solve(curve / RIDGE + np.diag(share), gradient)
+        dual, slope, length = value - wanted @ g - (share * g * g).sum() / 2, gradient @ step, 1.0
+        while True:
+            ahead = g + length * step
+            new = at(ahead)
+            if new[0] - wanted @ ahead - (share * ahead * ahead).sum() / 2 >= dual + 1e-4 * length * slope or length * slope <= 1e-15 * max(1.0, abs(dual)):
+                break
+            length /= 2
+        if new[0] - wanted @ ahead - (share * ahead * ahead).sum() / 2 <= dual:
+            logger.warning("mixing: no step raises the dual any more at a duality gap of %g (wanted: %g)", gap, GAP)
+            break
+        g, (value, reached, curve) = ahead, new
+    return g, reached, gap
 
 
 def rates(docs: DataFrame, weights: dict[str, np.ndarray], targets: dict[str, float]) -> DataFrame:
@@ -137,21 +174,11 @@ def rates(docs: DataFrame, weights: dict[str, np.ndarray], targets: dict[str, fl
     wanted = wanted / wanted.sum() if wanted.sum() else np.full(len(names), 1 / len(names))
     # The iterations read a narrow table; the posteriors of the result are computed once more, not carried along.
     points = stored(docs.select("text").mapInArrow(partial(_posteriors, weights=shared), T.StructType([docs.schema["text"], *added])).drop("text"), "posteriors")
-    total = points.agg(F.sum("_mix_tokens")).first()[0] or 0
-    history: list[tuple[list[float], float]] = []
-    step, momentum = 1 / (1 + RIDGE), 1.0
-    while total and len(history) < ITERATIONS:
-        y = points.select((F.col("_mix_tokens") * _rate(history, step)["y"]).alias("t"), "_mix_posterior")
-        sums = y.agg(*(F.sum(F.col("t") * F.get("_mix_posterior", F.lit(d))).alias(f"s{d}") for d in range(len(names)))).first()
-        now = np.array(sums, float) / total
-        share = np.maximum(now, 1e-9) if not history else share  # the first pass has all rates at 1
-        residual = (now - wanted) / share
-        ahead = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
-        history.append((residual.tolist(), (momentum - 1) / ahead))
-        momentum = ahead
-        if len(history) > 1 and np.abs(residual - history[-2][0]).max() < TOLERANCE:
-            break
-    return rows.withColumn("_mix_rate", _rate(history, step)["r"])
+    g, reached, gap = solve(points, wanted)
+    missed = np.abs(reached - wanted).max() > MISS
+    logger.log(logging.WARNING if missed else logging.INFO, "mixing: share of words by domain, reached and wanted: %s; duality gap %g",
+               {n: (round(float(a), 4), round(float(b), 4)) for n, a, b in zip(names, reached, wanted)}, gap)
+    return rows.withColumn("_mix_rate", _rate(g))
 
 
 def mix(docs: DataFrame, weights: dict[str, np.ndarray], targets: dict[str, float]) -> DataFrame:

@@ -192,6 +192,22 @@ def test_rates_meet_targets(spark):
     assert all(int(x._mix_rate) <= counts.get(x.doc_id, 0) <= int(x._mix_rate) + 1 for x in rows)
 
 
+@pytest.mark.parametrize("spread", [0.01, 0.03])
+def test_rates_of_weakly_separated_domains_are_optimal(spark, spread):
+    rng = np.random.default_rng(5)
+    p = np.clip(0.11 + spread * rng.standard_normal(2000), 0.001, 0.999)
+    p, n = np.stack((p, 1 - p), 1), rng.integers(1, 200, 2000)
+    wanted = np.array([0.2, 0.8])
+    points = spark.createDataFrame([(int(x), y.tolist()) for x, y in zip(n, p)], "_mix_tokens BIGINT, _mix_posterior ARRAY<DOUBLE>")
+    g, reached, gap = mixing.solve(points, wanted)
+    w = n / n.sum()
+    share = w @ p
+    rates = np.array([r[0] for r in points.select(mixing._rate(g)).collect()])
+    residual = (w * rates) @ p - wanted
+    moved = np.maximum(0, rates - (p @ (residual / share) + mixing.RIDGE * (rates - 1)))
+    assert gap <= mixing.GAP and np.allclose(reached, (w * rates) @ p) and np.abs(moved - rates).max() < 1e-4
+
+
 def test_mixing_of_awkward_rows(spark):
     texts, ratings = graded(spark, 30)
     weights = mixing.fit(table(spark, texts), ratings.selectExpr("doc_id", "concat('d', rating) as domain"))
