@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm import compression, decontaminate, kdtree, language, mixing, neardup, ordinal, repeats, token_store, toxicity
+from fundlake.llm import compression, decontaminate, kdtree, language, mixing, neardup, ordinal, repeats, token_store, toxicity, turns
 from fundlake.llm.labelled import crc_mod
 
 #: Domains of `labels` (quality and toxic as q*t*) and the shares of words wanted of them.
@@ -89,6 +89,25 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults and cheapest edits of every conversation after the damage that ``damaged`` does."""
+    rows = _table(spark, folder, "conversations")
+    return turns.repair(damaged(rows), everyone=rows)
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Rows lost, emptied, cut, repeated or given the role user, by a checksum of conversation and turn."""
+    name = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"), F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    role, text = F.coalesce("role", F.lit(" ")), F.coalesce("text", F.lit(" "))
+    hit = F.col("_hit")
+    marked = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), (F.crc32(name.cast("binary")) % 20).alias("_hit")).where(hit != 0)
+    copies = F.array_repeat(F.lit(0), F.when(hit == 3, 2).otherwise(1))
+    return marked.select(
+        "conv_id", "turn", F.when(hit == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(hit == 1, "").when(hit == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(copies).alias("_copy")).drop("_copy")
+
+
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
 
 OP1_SQL = rf"""
@@ -127,5 +146,6 @@ QUERIES = {
     "op8_repeated_passages": op8_repeated_passages,
     "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 SQL = {"op1_decontamination": OP1_SQL, "op10_near_duplicates": OP10_SQL}
