@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm import compression, decontaminate, kdtree, language, mixing, neardup, ordinal, repeats, token_store, toxicity, turns
+from fundlake.llm import compression, decontaminate, kdtree, language, mixing, neardup, ordinal, periodic, repeats, token_store, toxicity, turns
 from fundlake.llm.labelled import crc_mod
 
 #: Domains of `labels` (quality and toxic as q*t*) and the shares of words wanted of them.
@@ -108,6 +108,27 @@ def damaged(rows: DataFrame) -> DataFrame:
         F.explode(copies).alias("_copy")).drop("_copy")
 
 
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of words of every document, a tenth of which get a periodic tail first."""
+    found = periodic.find(with_tails(_table(spark, folder, "documents")))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("from"), (-r.period).alias("step"))))
+    return found.withColumn("_best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("_best.from")).alias("start"), F.col("_best.length").alias("length"),
+        (-F.col("_best.step")).alias("period"), F.floor(1000 * F.col("_best.length") / -F.col("_best.step")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def with_tails(docs: DataFrame) -> DataFrame:
+    """Documents of which every tenth, by a checksum of its id, repeats the words from some place on."""
+    planted = """CASE WHEN crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 10 = 0 THEN
+      array_join(transform(array(named_struct('w', regexp_extract_all(text, '[^\\\\x20\\\\x09-\\\\x0D]+', 0), 'g', crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) div 10)),
+        v -> CASE WHEN size(v.w) = 0 THEN '' ELSE array_join(transform(sequence(0, size(v.w) - 1), i -> CASE WHEN i < v.g % size(v.w) THEN v.w[i] ELSE
+          v.w[CAST(v.g % size(v.w) + (i - v.g % size(v.w)) % (1 + (size(v.w) - v.g % size(v.w)) div (3 + v.g % 8)) AS INT)] END), ' ') END), '')
+      ELSE text END"""
+    return docs.select("doc_id", F.expr(planted).alias("text"))
+
+
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
 
 OP1_SQL = rf"""
@@ -147,5 +168,6 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 SQL = {"op1_decontamination": OP1_SQL, "op10_near_duplicates": OP10_SQL}
