@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm import compression, decontaminate, kdtree, language, mixing, neardup, ordinal, periodic, repeats, token_store, toxicity, turns
+from fundlake.llm import compression, decontaminate, disclosure, kdtree, language, mixing, neardup, ordinal, periodic, repeats, token_store, toxicity, turns
 from fundlake.llm.labelled import crc_mod
 
 #: Domains of `labels` (quality and toxic as q*t*) and the shares of words wanted of them.
@@ -129,6 +129,19 @@ def with_tails(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.expr(planted).alias("text"))
 
 
+def op13_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document, and the words that reveal it."""
+    found = disclosure.find(_table(spark, folder, "documents"))
+    kinds = F.array(*[F.lit(kind) for kind in disclosure.KINDS])
+    place = lambda kind, s: F.struct(s["start"].alias("start"), F.array_position(kinds, kind).alias("rank"), s["end"].alias("end"), kind.alias("kind"))
+    joined = lambda spans: F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.transform("base", lambda s: place(s["kind"], s))
+    terms = F.transform("terms", lambda s: place(F.lit("term"), s))
+    of_kind = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    counts = [of_kind(kind).alias(f"n_{kind}") for kind in disclosure.KINDS[:-1]]
+    return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.concat(base, terms)).alias("spans"))
+
+
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
 
 OP1_SQL = rf"""
@@ -169,5 +182,6 @@ QUERIES = {
     "op10_near_duplicates": op10_near_duplicates,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_personal_data": op13_personal_data,
 }
 SQL = {"op1_decontamination": OP1_SQL, "op10_near_duplicates": OP10_SQL}
