@@ -124,7 +124,7 @@ _MET = pa.schema([("entity", pa.int64()), ("term", pa.int64()), ("context", pa.i
 
 
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(entity, term, context) of the terms near an entity, once a document; term null: the entity itself."""
+    """(entity, term, context) of the terms near an entity, once a document; term null: the entity itself, entity null: any entity."""
     for batch in batches:
         found = [(text, spans) for text in _texts(batch.column(0)) if (spans := base_spans(text))]
         for block in blocks(pa.array([text for text, _ in found], pa.string())):
@@ -148,6 +148,7 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for entity, (context, together) in near.items():
                     rows.append((entity, None, context))
                     rows += [(entity, term, context) for term in together]
+                rows += [(None, term, 0) for term in set().union(*(together for _, together in near.values()))]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows) if rows else ([], [], []))], schema=_MET)
 
 
@@ -200,17 +201,18 @@ def revealing_terms(docs: DataFrame) -> DataFrame:
         F.count("*").alias("n"), (F.min("context") != F.max("context")).alias("contexts_differ"))
     met = stored(met, "met")
     p = F.col("of_entity") / F.lit(float(max(total, 1)))
-    entities = met.where("term IS NULL").select("entity", F.col("n").alias("of_entity")).where(-F.log2(p) >= LEAST_BITS)
-    pairs = met.where("term IS NOT NULL AND contexts_differ").select("entity", "term", "n").join(entities, "entity")
-    pairs = stored(pairs.select("term", "n", "of_entity"), "pairs")
-    bitmap = spark.sparkContext.broadcast(_bitmap(pairs.select("term").distinct()))
-    holding = texts.mapInArrow(partial(_counted, bitmap=bitmap), "term long, n long").groupBy("term").agg(F.sum("n").alias("of_term"))
-    # A term met in all its documents but one hidden in a base value elsewhere may exceed its own count by nothing: n <= of_term.
     given = (F.col("n") - 1) / F.greatest(F.col("of_term") - 1, F.lit(1))
     information = F.log2(F.when(given > 0, given) / p)
     share = information / -F.log2(p)
-    out = pairs.join(holding, "term").select("term", information.alias("information"), share.alias("share"))
-    out = stored(out.where((F.col("information") >= LEAST_BITS) & (F.col("share") >= GENERALISED)).groupBy("term").agg(F.max("share").alias("share")), "revealing")
+    reveals = (information >= LEAST_BITS) & (share >= GENERALISED)
+    entities = met.where("term IS NULL").select("entity", F.col("n").alias("of_entity")).where(-F.log2(p) >= LEAST_BITS)
+    pairs = met.where("entity IS NOT NULL AND term IS NOT NULL AND contexts_differ").select("entity", "term", "n").join(entities, "entity")
+    # Documents with the term near any entity are some of all that hold it: what they rule out need not be counted.
+    least = met.where("entity IS NULL").select("term", F.col("n").alias("of_term"))
+    pairs = stored(pairs.join(least, "term").where(reveals).select("term", "n", "of_entity"), "pairs")
+    bitmap = spark.sparkContext.broadcast(_bitmap(pairs.select("term").distinct()))
+    holding = texts.mapInArrow(partial(_counted, bitmap=bitmap), "term long, n long").groupBy("term").agg(F.sum("n").alias("of_term"))
+    out = stored(pairs.join(holding, "term").where(reveals).groupBy("term").agg(F.max(share).alias("share")), "revealing")
     discard(met)
     discard(pairs)
     return out

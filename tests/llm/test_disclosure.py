@@ -30,7 +30,7 @@ def passes(kind, value):
 
 
 def plain_spans(text):
-    found = [(m.start(), n, m.end(), kind, m.group()) for n, (kind, pattern) in enumerate(PATTERNS.items()) for m in pattern.finditer(text) if passes(kind, m.group())]
+    found = [(m.start(), n, m.end(), kind, m.group()) for n, (kind, pattern) in enumerate(PATTERNS.items()) for m in pattern.finditer(text if kind != "email" or "@" in text else "") if passes(kind, m.group())]
     return sorted(found)
 
 
