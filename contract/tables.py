@@ -227,6 +227,13 @@ SELECT CASE WHEN o_orderkey % 13 = 0 THEN '31-12-2000' ELSE CAST(odate AS STRING
   ' ' || r_name || ' ' AS index_name,
   CASE WHEN o_orderkey % 11 = 0 THEN '0' ELSE CAST(o_totalprice AS STRING) END AS close_value, o_orderkey AS ingest_seq
 FROM {x_orders}""",
+    # Events as long series: series 0 holds nine tenths of the rows.
+    "x_ticks": """
+SELECT event_id, CASE WHEN event_id % 10 < 9 THEN 0 ELSE 1 + user_id % 7 END AS series, ts, event_type,
+  CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value, CAST(round(value * 100) AS BIGINT) AS cents
+FROM {events}""",
+    "x_tick_days": """
+SELECT series, CAST(ts AS DATE) AS day, max(value) AS value FROM {x_ticks} WHERE event_id % 37 = 0 GROUP BY 1, 2""",
     "x_lines": """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_shipdate AS DATE) AS shipped,
   lpad(CAST(l_partkey AS STRING), 12, '0') || lpad(CAST(l_suppkey AS STRING), 12, '0')

@@ -19,13 +19,14 @@ from fundlake.session import cut_lineage
 SLICE = "__slice"
 
 
-def _slices(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+def range_slices(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """``df`` range-sorted into slices of like size, stored, with the slice number of each row."""
     return cut_lineage(df.repartitionByRange(*order).withColumn(SLICE, F.spark_partition_id()))
 
 
 def row_numbers(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
     """Dense 1..N over the whole table in the given total order."""
-    slices = _slices(df, order)
+    slices = range_slices(df, order)
     running = Window.orderBy(SLICE)
     starts = (
         slices.groupBy(SLICE).agg(F.count("*").alias("__n"))
@@ -54,7 +55,7 @@ def cumulative_counts(df: DataFrame, value: str, groups: Sequence[str] = ()) ->
     for name in groups:
         present &= F.col(name).isNotNull()
     counts = df.where(present).groupBy(*groups, value).agg(F.count("*").alias("n"))
-    slices = _slices(counts, [*groups, value])
+    slices = range_slices(counts, [*groups, value])
     per_slice = slices.groupBy(*groups, SLICE).agg(F.sum("n").alias("__slice_n"))
     running = Window.partitionBy(*groups).orderBy(SLICE)
     starts = per_slice.select(

@@ -8,7 +8,7 @@ of several rows of a day the first to arrive stays.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundlake import schemas as S
@@ -17,6 +17,7 @@ from fundlake.functions.coerce import existing
 from fundlake.functions.rules import benchmark_key, if_positive
 from fundlake.operators.aggregates import downside_deviation, regression
 from fundlake.operators.dedup import keep_first
+from fundlake.operators.ranking import SLICE, range_slices
 from fundlake.operators.series import change, previous, so_far, whole
 
 
@@ -124,6 +125,34 @@ def max_drawdown(nav: DataFrame) -> DataFrame:
     return _with_drawdown(nav).groupBy("amfi_code").agg(*_drawdown_aggregates())
 
 
+def max_drawdown_by_slices(nav: DataFrame) -> DataFrame:
+    """``max_drawdown`` for series of any length, as a merge of summaries.
+
+    The record of a stretch of prices is its peak, its low and its worst fall, the first of equals each. Of two
+    stretches in a row the worst fall is one of theirs, or the later one's low below the earlier one's peak: if a price
+    between had risen above that peak, the later record holds a deeper fall. So slices of a series are summed up alone, and
+    one record a slice is brought together.
+    """
+    nav = _one_a_day(nav.select("amfi_code", "date", "nav"), "amfi_code", "nav", None)
+    slices = range_slices(nav, ["amfi_code", "date"])
+    rows = Window.partitionBy(SLICE, "amfi_code").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    top = F.struct(F.col("nav").alias("nav"), (-F.unix_date("date")).alias("day"))
+    marked = slices.withColumn("__peak", F.max(top).over(rows))
+    fall = F.struct(
+        (F.col("nav") / F.col("__peak.nav") - 1).alias("dd"), F.col("date").alias("date"), (-F.col("__peak.day")).alias("peak_day"), F.col("__peak.nav").alias("peak"))
+    records = marked.groupBy(SLICE, "amfi_code").agg(F.max(top).alias("top"), F.min(F.struct("nav", "date")).alias("low"), F.min(fall).alias("worst"))
+    before = F.max("top").over(Window.partitionBy("amfi_code").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1))
+    across = F.struct(
+        (F.col("low.nav") / F.col("__before.nav") - 1).alias("dd"), F.col("low.date").alias("date"), (-F.col("__before.day")).alias("peak_day"), F.col("__before.nav").alias("peak"))
+    worst = records.withColumn("__before", before).groupBy("amfi_code").agg(
+        F.min(F.least("worst", F.when(F.col("__before").isNotNull(), across))).alias("__trough"))
+    recovered = (F.col("date") > F.col("__trough.date")) & (F.col("nav") >= F.col("__trough.peak"))
+    ends = slices.join(worst, "amfi_code").where(recovered).groupBy(F.col("amfi_code").alias("__code")).agg(F.min("date").alias("drawdown_recovery_date"))
+    return worst.join(ends, F.col("amfi_code") == F.col("__code"), "left").select(
+        "amfi_code", (F.col("__trough.dd") * 100).alias("max_drawdown_pct"), F.date_from_unix_date("__trough.peak_day").alias("drawdown_start_date"),
+        F.col("__trough.date").alias("drawdown_trough_date"), "drawdown_recovery_date")
+
+
 def return_risk(daily: DataFrame) -> DataFrame:
     """Annualised return, volatility, Sharpe and Sortino ratio per fund."""
     r = F.col("daily_return")
