@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from contract.registry import check
-from fundlake.operators import scan
+from fundlake.operators import correlation, scan
 from fundlake.operators.scan import Running
-from fundlake.plans import returns
+from fundlake.plans import explore, returns
 
 C = F.col
 _TICKS = "OVER (PARTITION BY series ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)"
@@ -36,3 +36,12 @@ check("j10_transactions_as_of_price",
 SELECT t.investor_id, t.amfi_code, t.transaction_date, t.amount_inr, CASE WHEN n.date >= t.transaction_date - 2 THEN n.date END AS date_as_of,
   CASE WHEN n.date >= t.transaction_date - 2 THEN n.nav END AS nav
 FROM {x_txn} t ASOF LEFT JOIN (SELECT * FROM {x_nav_raw} WHERE amfi_code % 5 <> 0) n ON n.amfi_code = t.amfi_code AND t.transaction_date >= n.date""")
+
+_ALL_PAIRS = """
+WITH full_days AS (SELECT date FROM {x_returns} WHERE daily_return IS NOT NULL GROUP BY date HAVING count(*) = (SELECT count(DISTINCT amfi_code) FROM {x_returns})),
+r AS (SELECT amfi_code, date, daily_return AS v FROM {x_returns} JOIN full_days USING (date))
+SELECT a.amfi_code AS code_a, b.amfi_code AS code_b, count(*) AS days, corr(a.v, b.v) AS correlation FROM r a JOIN r b ON a.date = b.date AND a.amfi_code <= b.amfi_code GROUP BY ALL"""
+check("a16_correlation_all_series", lambda t: correlation.correlations(t.x_returns, "amfi_code", "daily_return", block=8), _ALL_PAIRS, {"correlation": 9})
+check("m14_return_correlation_chosen",
+      lambda t: correlation.correlations(t.x_returns, "amfi_code", "daily_return", keys=explore.largest_by_aum(t.x_perf)).select("code_a", "code_b", "correlation"),
+      "SELECT code_a, code_b, correlation FROM {x_corr} WHERE code_a <= code_b", {"correlation": 9})
