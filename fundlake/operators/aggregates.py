@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundlake.operators.ranking import exact_quantiles
+from fundlake.operators.selection import exact_quantiles
 from fundlake.schemas import MIN_REGRESSION_ROWS
 
 

@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fundlake.operators.selection import known
 from fundlake.session import cut_lineage
 
 SLICE = "__slice"
@@ -40,18 +41,13 @@ def row_numbers(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
     )
 
 
-def _known(df: DataFrame, value: str) -> Column:
-    known = F.col(value).isNotNull()
-    return known & ~F.isnan(value) if df.schema[value].dataType.typeName() in ("double", "float") else known
-
-
 def cumulative_counts(df: DataFrame, value: str, groups: Sequence[str] = ()) -> DataFrame:
     """Distinct values with ``n`` (copies), ``before`` (rows below), ``total`` rows.
 
     Copies are counted before the first exchange, so one value or one group may
     hold most of the rows. Rows with a missing value or group are left out.
     """
-    present = _known(df, value)
+    present = known(df, value)
     for name in groups:
         present &= F.col(name).isNotNull()
     counts = df.where(present).groupBy(*groups, value).agg(F.count("*").alias("n"))
@@ -96,25 +92,6 @@ def min_ranks(df: DataFrame, metrics: Mapping[str, tuple[str, bool]]) -> DataFra
     return ranked
 
 
-def exact_quantiles(
-    df: DataFrame, value: str, points: Mapping[str, float], groups: Sequence[str] = ()
-) -> DataFrame:
-    """Linear-interpolated quantiles, one column per ``name -> p``, one row per group."""
-    table = cumulative_counts(df, value, groups)
-    first, last = F.col("before"), F.col("before") + F.col("n") - 1
-
-    def at(index: Column) -> Column:
-        return F.max(F.when((first <= index) & (index <= last), F.col(value)))
-
-    results = []
-    for name, p in points.items():
-        position = (F.col("total") - 1) * F.lit(float(p))
-        low, high = at(F.floor(position)), at(F.ceil(position))
-        share = F.max(position - F.floor(position))
-        results.append((low + (high - low) * share).alias(name))
-    return table.groupBy(*groups).agg(*results)
-
-
 def top_n_with_rest(
     df: DataFrame, label: str, value: str, n: int, rest: str = "Others"
 ) -> DataFrame:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fundlake.operators import aggregates, constraints, dedup, ranking, reshape, series, sets
+from fundlake.operators import aggregates, constraints, dedup, ranking, selection, reshape, series, sets
 from tests.conftest import by_key
 
 
@@ -38,12 +38,12 @@ def skewed(spark):
 def test_exact_quantiles_match_linear_interpolation(skewed):
     points = {"p01": 0.01, "q1": 0.25, "median": 0.5, "p99": 0.99, "lo": 0.0, "hi": 1.0}
     local = skewed.toPandas().dropna()
-    got = by_key(ranking.exact_quantiles(skewed, "v", points, ["g"]), "g")
+    got = by_key(selection.exact_quantiles(skewed, "v", points, ["g"]), "g")
     assert set(got) == set(local.g)
     for group, values in local.groupby("g").v:
         for name, p in points.items():
             assert got[group][name] == pytest.approx(np.quantile(values, p), abs=1e-9)
-    whole = ranking.exact_quantiles(skewed, "v", points).first()
+    whole = selection.exact_quantiles(skewed, "v", points).first()
     assert whole.p99 == pytest.approx(np.quantile(local.v, 0.99), abs=1e-9)
 
 
