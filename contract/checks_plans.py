@@ -328,6 +328,33 @@ WITH latest AS (SELECT aum_crore FROM fact_aum WHERE date_key = (SELECT max(date
 SELECT sum(pow(aum_crore / (SELECT t FROM whole), 2)) * 10000 AS hhi_index, max(aum_crore / (SELECT t FROM whole)) * 100 AS largest_fund_house_share_pct FROM latest""",
 }
 
+_VIEW_SQL |= {
+    "qy3_sip_growth": """
+WITH monthly AS (
+  SELECT d.year, d.month, sum(t.amount_inr) AS sip_amount, count(*) AS sip_txn_count
+  FROM fact_transactions t JOIN dim_date d USING (date_key) WHERE t.transaction_type = 'SIP' GROUP BY d.year, d.month)
+SELECT now.*, round(100 * CAST(now.sip_amount - past.sip_amount AS DOUBLE) / nullif(past.sip_amount, 0), 2) AS yoy_sip_amount_pct,
+  round(100 * CAST(now.sip_txn_count - past.sip_txn_count AS DOUBLE) / nullif(past.sip_txn_count, 0), 2) AS yoy_sip_count_pct
+FROM monthly now LEFT JOIN monthly past ON past.year + 1 = now.year AND past.month = now.month ORDER BY now.year, now.month""",
+    "qy6_alpha_leaders": """
+SELECT f.amfi_code, f.scheme_name, f.fund_house, p.return_3yr_pct, p.benchmark_3yr_pct,
+  round(p.return_3yr_pct - p.benchmark_3yr_pct, 2) AS excess_return_3yr_pct, p.alpha, p.sharpe_ratio
+FROM fact_performance p JOIN dim_fund f USING (fund_key) ORDER BY p.alpha DESC, excess_return_3yr_pct DESC, f.amfi_code LIMIT 10""",
+    "qy8_net_flow": """
+WITH flows AS (
+  SELECT d.year, d.month, sum(if(t.transaction_type IN ('SIP', 'Lumpsum'), t.amount_inr, 0)) AS gross_inflow,
+    sum(if(t.transaction_type = 'Redemption', t.amount_inr, 0)) AS redemption
+  FROM fact_transactions t JOIN dim_date d USING (date_key) GROUP BY d.year, d.month),
+nets AS (SELECT *, gross_inflow - redemption AS net_flow FROM flows),
+pairs AS (SELECT *, lag(net_flow) OVER (ORDER BY year, month) AS past FROM nets)
+SELECT year, month, gross_inflow, redemption, net_flow,
+  round(100 * CAST(net_flow - past AS DOUBLE) / nullif(past, 0), 2) AS mom_net_flow_change_pct FROM pairs ORDER BY year, month""",
+    "qy10_city_tier": """
+SELECT city_tier, transaction_type, count(*) AS txn_count, CAST(sum(amount_inr) AS DOUBLE) AS total_amount_inr,
+  round(avg(amount_inr), 2) AS avg_ticket_size_inr, round(count(DISTINCT investor_id) / count(*), 4) AS unique_investor_ratio
+FROM fact_transactions GROUP BY city_tier, transaction_type ORDER BY city_tier, total_amount_inr DESC""",
+}
+
 
 def _by_view(text: str):
     def run(t: Tables) -> DataFrame:
@@ -424,4 +451,49 @@ def _findings_sink(t: Tables) -> DataFrame:
     return files.read_table(t.spark, path)
 
 
+_ENDS_SQL = """
+SELECT f.*, CASE finding_no WHEN 2 THEN s.a WHEN 6 THEN o.a END AS from_value, CASE finding_no WHEN 2 THEN s.b WHEN 6 THEN o.b END AS to_value
+FROM (""" + _FINDINGS_SQL + """) f
+CROSS JOIN (SELECT CAST(arg_min(sip_inflow_crore, month) AS DOUBLE) AS a, CAST(arg_max(sip_inflow_crore, month) AS DOUBLE) AS b FROM {x_sip}) s
+CROSS JOIN (SELECT arg_min(total_folios_crore, month) AS a, arg_max(total_folios_crore, month) AS b FROM {x_folio}) o"""
+_SENTENCES_SQL = """
+SELECT finding_no || '. ' || CASE finding_no
+  WHEN 1 THEN format('{} is the largest fund house with Rs. {:.2f} lakh crore AUM.', subject, value)
+  WHEN 2 THEN format('Monthly SIP inflows grew {:.1f}% over the data, from Rs. {:,} crore to Rs. {:,} crore.', value, CAST(round(from_value) AS BIGINT), CAST(round(to_value) AS BIGINT))
+  WHEN 3 THEN format('{} recorded the highest cumulative net inflow at Rs. {:,} crore.', subject, CAST(round(value) AS BIGINT))
+  WHEN 4 THEN format('{} is the age group with most transaction records ({:,}).', subject, CAST(value AS BIGINT))
+  WHEN 5 THEN format('{} is the leading SIP state by amount with Rs. {:,}.{} crore.', subject, CAST(floor(round(value, 1)) AS BIGINT), CAST(round((round(value, 1) - floor(round(value, 1))) * 10) AS BIGINT))
+  WHEN 6 THEN format('Industry folios increased by {:.2f} crore, from {:.2f} crore to {:.2f} crore.', value, from_value, to_value)
+  WHEN 7 THEN format('The largest funds show an average pairwise daily return correlation of {:.2f}.', value)
+  WHEN 8 THEN format('{} is the largest equity sector at {:.1f}% of summed weights.', subject, value)
+  WHEN 9 THEN format('{} is the local low of the average indexed NAV ({:.2f}).', subject, value)
+  ELSE format('{} is the latest month, with {:.2f} crore active SIP accounts.', subject, value) END AS value
+FROM (""" + _ENDS_SQL + ") f"
+
+
+def _finding_report(t: Tables) -> DataFrame:
+    return explore.findings_with_ends(t.x_aum, t.x_sip, t.x_category, t.x_txn, t.x_folio, t.x_nav, t.x_perf, t.x_holdings, t.x_funds, window=_WINDOW)
+
+
+def _written_lines(t: Tables, lines: DataFrame) -> DataFrame:
+    path = scratch_path(t.spark, "lines")
+    files.write_text(lines, path)
+    return t.spark.read.text(path)
+
+
+check("e20_findings_with_ends", _finding_report, _ENDS_SQL, {"value": 4, "from_value": 4, "to_value": 4})
+check("t29_finding_sentences", lambda t: explore.finding_sentences(_finding_report(t)), _SENTENCES_SQL)
+check("s13_findings_text_sink", lambda t: _written_lines(t, explore.finding_sentences(_finding_report(t), "Findings")),
+      f"SELECT '# Findings' AS value UNION ALL SELECT '' UNION ALL ({_SENTENCES_SQL})")
+_MARKDOWN_SQL = """
+WITH f AS (SELECT count(*) AS n, count(*) - (SELECT count(*) FROM (SELECT DISTINCT * EXCLUDE (ingest_seq) FROM {r_funds}) d) AS dup, count(*) - count(exit_load_pct) AS miss FROM {r_funds}),
+v AS (SELECT count(*) AS n, count(*) - count(DISTINCT (amfi_code, date, nav)) AS dup FROM {r_nav}),
+m AS (SELECT amfi_code AS code FROM {r_funds} EXCEPT SELECT amfi_code FROM {r_nav}),
+x AS (SELECT amfi_code AS code FROM {r_nav} EXCEPT SELECT amfi_code FROM {r_funds})
+SELECT unnest(['# Data quality summary', '', '## Datasets', '- Files analysed: **3**', '- Rows of funds: **' || f.n || '**', '- Rows of nav: **' || v.n || '**',
+  '', '## Duplicate rows', '- funds: **' || f.dup || '**', '- nav: **' || v.dup || '**', '', '## Missing values', '- funds: **' || f.miss || '**', '- nav: **0**', '', '## Codes',
+  CASE WHEN (SELECT count(*) FROM m) = 0 THEN '- Every code of funds has prices' ELSE '- Codes of funds without prices: **' || (SELECT count(*) FROM m) || '**' END,
+  CASE WHEN (SELECT count(*) FROM x) = 0 THEN '- No priced code is unknown to funds' ELSE '- Priced codes that funds does not have: **' || (SELECT count(*) FROM x) || '**' END]) AS value FROM f CROSS JOIN v
+UNION ALL SELECT '  - ' || code FROM m UNION ALL SELECT '  - ' || code FROM x"""
+check("s12_quality_markdown", lambda t: _written_lines(t, quality.markdown_lines(t.spark, {"funds": t.r_funds, "nav": t.r_nav, "aum": t.r_aum}, "funds", "nav")), _MARKDOWN_SQL)
 check("s13_findings_sink", _findings_sink, _FINDINGS_SQL, {"value": 4})

@@ -164,7 +164,7 @@ check("w5_first_value", lambda t: t.x_nav.select("amfi_code", "date", series.fir
       f"SELECT amfi_code, date, first_value(nav) {_OVER} AS base FROM {{x_nav}}")
 check("w6_lag_over_months", lambda t: t.x_sip.select("month", F.lag("sip_inflow_crore").over(Window.orderBy(F.year("month"), F.month("month"))).alias("before")),
       "SELECT month, lag(sip_inflow_crore) OVER (ORDER BY month) AS before FROM {x_sip}")
-check("w7_share_over_all", lambda t: aggregates.with_share(t.x_aum.where(C("date") == t.x_aum.select(F.max("date")).scalar()), "aum_crore", "market_share").select("fund_house", "market_share"),
+check("w7_share_over_all", lambda t: explore.latest_market_share(t.x_aum),
       "SELECT fund_house, aum_crore / sum(aum_crore) OVER () AS market_share FROM {x_aum} WHERE date = (SELECT max(date) FROM {x_aum})", {"market_share": 9})
 _RANKS = {"rank_sharpe": ("sharpe_ratio", False), "rank_expense": ("expense_ratio_pct", True), "rank_aum": ("aum_known", False)}
 check("w8_min_rank", lambda t: ranking.min_ranks(t.x_perf.select("amfi_code", "sharpe_ratio", "expense_ratio_pct", F.when(C("amfi_code") % 5 != 0, C("aum_crore")).alias("aum_known")), _RANKS), """

@@ -12,8 +12,8 @@ from fundlake.schemas import MIN_REGRESSION_ROWS
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """Rows per value, missing values ignored."""
-    return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    """Rows per value, missing values ignored, the commonest first; equal counts by value."""
+    return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.asc(column))
 
 
 def with_share(df: DataFrame, value: str, out: str, scale: float = 1.0) -> DataFrame:

@@ -95,16 +95,15 @@ def min_ranks(df: DataFrame, metrics: Mapping[str, tuple[str, bool]]) -> DataFra
 def top_n_with_rest(
     df: DataFrame, label: str, value: str, n: int, rest: str = "Others"
 ) -> DataFrame:
-    """The n largest rows, plus one row for the remainder when that is above zero.
+    """The n largest rows, plus one row for the remainder when that is above zero. One row per label in ``df``.
 
-    Rows without a label are left out of both.
+    Rows without a label are left out of both. The n-th row is the border that every row is held against: a comparison
+    with a value of ``df`` is not pushed below the aggregate that made it, so both evaluations share its exchange.
     """
-    named = df.where(F.col(label).isNotNull())
-    top = named.select(label, value).orderBy(F.desc(value), F.asc(label)).limit(n)
-    others = (
-        named.join(F.broadcast(top.select(label)), label, "left_anti")
-        .agg(F.sum(value).alias(value))
-        .where(F.col(value) > 0)
-        .select(F.lit(rest).alias(label), value)
-    )
-    return top.unionByName(others)
+    named = df.where(F.col(label).isNotNull()).select(label, value)
+    place = F.struct(F.col(value).isNull(), -F.col(value), F.col(label))
+    border = named.orderBy(F.desc(value), F.asc(label)).limit(n).agg(F.max(place)).scalar()
+    kept = place <= border
+    sided = named.select(kept.alias("__kept"), F.when(kept, F.col(label)).otherwise(F.lit(rest)).alias(label), value)
+    totals = sided.groupBy("__kept", label).agg(F.sum(value).alias(value))
+    return totals.where(F.col("__kept") | (F.col(value) > 0)).select(label, value)

@@ -22,6 +22,11 @@ def pivot_unique(df: DataFrame, index: str, columns: str, values: str, wanted: S
     return cells.groupBy(index).pivot(columns, list(wanted)).agg(F.max(values))
 
 
+def pivot_grid(df: DataFrame, index: str, columns: str, values: str, wanted: Sequence) -> DataFrame:
+    """As ``pivot_unique``, absent cells 0."""
+    return pivot_unique(df, index, columns, values, wanted).fillna(0)
+
+
 def pivot_sum(df: DataFrame, index: str, columns: str, values: str, wanted: Sequence) -> DataFrame:
     """Wide sums, absent cells 0; repeated cells add up."""
     return _listed(df, columns, wanted).groupBy(index).pivot(columns, list(wanted)).agg(F.sum(values)).fillna(0)

@@ -134,6 +134,6 @@ def lowest(df: DataFrame, value: str, date: str = "date") -> DataFrame:
 
 
 def highest(df: DataFrame, label: str, value: str) -> DataFrame:
-    """The label with the largest value, the first label on ties."""
-    top = df.select(F.max(value)).scalar()
-    return df.where(F.col(value) == top).groupBy(value).agg(F.min(label).alias(label)).select(label, value)
+    """The label with the largest value, the first label on ties; no row if there is none. One aggregate."""
+    top = df.where(F.col(value).isNotNull()).agg(F.min(F.struct((-F.col(value)).alias("v"), F.col(label).alias("l"))).alias("t"))
+    return top.where("t IS NOT NULL").select(F.col("t.l").alias(label), (-F.col("t.v")).alias(value))

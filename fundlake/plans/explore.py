@@ -12,7 +12,7 @@ from fundlake.functions.rules import in_crore, short_label
 from fundlake.operators.aggregates import above_trimmed_ceiling, quantiles, value_counts, with_share
 from fundlake.operators.dedup import latest_per_group
 from fundlake.operators.ranking import top_n_with_rest
-from fundlake.operators.reshape import pivot_sum, unpivot, with_row_total
+from fundlake.operators.reshape import pivot_grid, unpivot, with_row_total
 from fundlake.operators.series import every_kth, growth, highest, lowest, nearest_to_markers, rebase_to_first_day
 from fundlake.operators.sets import shared_order
 from fundlake.plans.returns import mean_pairwise, return_correlation
@@ -71,22 +71,39 @@ def months_in(df: DataFrame, column: str) -> list[str]:
 
 
 def aum_grid(aum: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
-    """Fund house by year, absent snapshots 0, largest house of the last year first."""
+    """Fund house by year, absent snapshots 0, largest house of the last year first. A year not in ``years`` fails the query."""
     years = years or years_in(aum, "date")
     snapshots = yearly_aum(aum)
-    wide = snapshots.groupBy("fund_house").pivot("year", list(years)).agg(F.max("aum_lakh_crore")).fillna(0)
+    wide = pivot_grid(snapshots, "fund_house", "year", "aum_lakh_crore", years)
     latest = snapshots.where(F.col("year") == snapshots.select(F.max("year")).scalar()).select("fund_house")
     newest = str(max(years))
     return wide.join(latest, "fund_house", "left_semi").orderBy(F.desc(newest), "fund_house")
 
 
+def newest_per_house(aum: DataFrame, *values: str) -> DataFrame:
+    """The last snapshot of each fund house: date and values, from one aggregate."""
+    dated = aum.where(F.col("fund_house").isNotNull() & F.col("date").isNotNull())
+    return dated.groupBy("fund_house").agg(F.max(F.struct("date", *values)).alias("s")).select("fund_house", "s.*")
+
+
 def latest_aum_share(aum: DataFrame) -> DataFrame:
-    snapshots = yearly_aum(aum)
-    latest = snapshots.where(F.col("year") == snapshots.select(F.max("year")).scalar())
+    """Shares of the houses that have a snapshot in the last year.
+
+    A house's last snapshot of that year is its last of all, so the year, the total and the rows all come from one row a house.
+    """
+    newest = newest_per_house(aum, "aum_lakh_crore")
+    latest = newest.where(F.year("date") == newest.select(F.max(F.year("date"))).scalar())
     shares = with_share(latest, "aum_lakh_crore", "share_pct", 100.0).select("fund_house", "aum_lakh_crore", "share_pct")
     return shares.orderBy(F.desc("share_pct"), "fund_house")
 
 
+def latest_market_share(aum: DataFrame) -> DataFrame:
+    """Shares of the houses on the last snapshot day."""
+    newest = newest_per_house(aum, "aum_crore")
+    latest = newest.where(F.col("date") == newest.select(F.max("date")).scalar())
+    return with_share(latest, "aum_crore", "market_share").select("fund_house", "market_share")
+
+
 def sip_trend(sip: DataFrame) -> DataFrame:
     return sip.select("month", "sip_inflow_crore").orderBy("month")
 
@@ -101,10 +118,10 @@ def active_accounts(sip: DataFrame) -> DataFrame:
 
 
 def category_matrix(category: DataFrame, months: Sequence[str] | None = None) -> DataFrame:
-    """Category by month, absent cells 0, categories with the largest total first."""
+    """Category by month, absent cells 0, categories with the largest total first. A repeated cell fails the query."""
     months = months or months_in(category, "month")
     keyed = category.where(F.col("category").isNotNull()).withColumn("__month", F.date_format("month", "yyyy-MM"))
-    wide = pivot_sum(keyed, "category", "__month", "net_inflow_crore", months)
+    wide = pivot_grid(keyed, "category", "__month", "net_inflow_crore", months)
     return with_row_total(wide, months).orderBy(F.desc("row_total"), "category")
 
 
@@ -200,35 +217,62 @@ def top_schemes(performance: DataFrame, metric: str, n: int = 10) -> DataFrame:
         F.desc_nulls_last(metric), F.asc("amfi_code")).limit(n)
 
 
-FINDINGS_SCHEMA = "finding_no INT, metric STRING, subject STRING, value DOUBLE"
+FINDING_COLUMNS = ("finding_no", "metric", "subject", "value")
 
 
-def findings(
+def _top_groups(transactions: DataFrame) -> DataFrame:
+    """``(kind, label, total)`` of the largest age group (records) and the largest state (instalments): one scan, one aggregate."""
+    sip_amount = F.when(F.col("transaction_type") == "SIP", F.col("amount_inr"))
+    ways = F.array(
+        F.struct(F.lit("age").alias("kind"), F.when(F.col("age_group").isin(*S.AGE_GROUPS), F.col("age_group")).alias("label"), F.lit(1).cast("long").alias("amount")),
+        F.struct(F.lit("state").alias("kind"), F.when(sip_amount.isNotNull(), F.col("state")).alias("label"), sip_amount.cast("long").alias("amount")))
+    totals = transactions.select(F.inline(ways)).where("label IS NOT NULL").groupBy("kind", "label").agg(F.sum("amount").alias("total"))
+    top = totals.groupBy("kind").agg(F.min(F.struct((-F.col("total")).alias("t"), F.col("label").alias("l"))).alias("s"))
+    return top.select("kind", F.col("s.l").alias("label"), (-F.col("s.t")).alias("total"))
+
+
+def findings_with_ends(
     aum: DataFrame, sip: DataFrame, category: DataFrame, transactions: DataFrame, folios: DataFrame,
     nav: DataFrame, performance: DataFrame, holdings: DataFrame, funds: DataFrame,
     window: tuple[str, str] = CORRECTION_WINDOW, k: int = 10,
 ) -> DataFrame:
-    """Ten headline facts as ``(finding_no, metric, subject, value)``."""
-    def fact(no: int, metric: str, source: DataFrame, subject, value) -> DataFrame:
-        return source.select(
-            F.lit(no).alias("finding_no"), F.lit(metric).alias("metric"),
-            subject.cast("string").alias("subject"), value.cast("double").alias("value"))
+    """Ten headline facts as ``(finding_no, metric, subject, value, from_value, to_value)``.
 
-    none = F.lit(None)
+    The last two are the first and last value of a growth, where there is one. Facts of one table come from one aggregate over it.
+    """
     c = F.col
+
+    def fact(no, metric: str, subject, value, start=None, end=None):
+        double = lambda x: (F.lit(None) if x is None else x).cast("double")
+        return F.struct(
+            F.lit(no).alias("finding_no"), F.lit(metric).alias("metric"), (F.lit(None) if subject is None else subject).cast("string").alias("subject"),
+            double(value).alias("value"), double(start).alias("from_value"), double(end).alias("to_value"))
+
+    def told(source: DataFrame, *facts) -> DataFrame:
+        return source.select(F.inline(F.array(*facts)))
+
+    newest = newest_per_house(aum, "aum_lakh_crore")
+    houses = newest.where(F.year("date") == newest.select(F.max(F.year("date"))).scalar())
+    months = sip.agg(
+        F.min(F.struct("month", "sip_inflow_crore")).alias("a"),
+        F.max(F.struct("month", "sip_inflow_crore", "active_sip_accounts_crore")).alias("b"))
+    folio_ends = growth(folios, "total_folios_crore", "month")
+    sectors = sector_weights(holdings, funds).agg(F.min(F.struct((-c("weight_pct")).alias("w"), "sector")).alias("t"), F.sum("weight_pct").alias("total"))
+    groups = _top_groups(transactions).groupBy().pivot("kind", ["age", "state"]).agg(F.first(F.struct("label", "total")))
     correlations = return_correlation(nav, largest_by_aum(performance, k), k)
-    sectors = with_share(sector_weights(holdings, funds), "weight_pct", "share_pct", 100.0)
     facts = [
-        fact(1, "largest_amc_aum_lakh_crore", highest(latest_aum_share(aum), "fund_house", "aum_lakh_crore"), c("fund_house"), c("aum_lakh_crore")),
-        fact(2, "sip_inflow_growth_pct", growth(sip, "sip_inflow_crore", "month"), none, c("growth_pct")),
-        fact(3, "top_category_net_inflow_crore", highest(category_totals(category), "category", "net_inflow_crore"), c("category"), c("net_inflow_crore")),
-        fact(4, "largest_age_group_records", highest(age_group_counts(transactions), "age_group", "n"), c("age_group"), c("n")),
-        fact(5, "top_state_sip_amount_crore", highest(state_sip(transactions), "state", "sip_amount_crore"), c("state"), c("sip_amount_crore")),
-        fact(6, "folio_growth_crore", growth(folios, "total_folios_crore", "month"), none, c("growth_abs")),
-        fact(7, "mean_pairwise_correlation", mean_pairwise(correlations), none, c("mean_correlation")),
-        fact(8, "top_sector_share_pct", highest(sectors, "sector", "share_pct"), c("sector"), c("share_pct")),
-        fact(9, "correction_low", focus_low(average_indexed_nav(nav), *window), c("date"), c("avg_indexed_nav")),
-        fact(10, "latest_active_sip_accounts_crore", sip.agg(F.max(F.struct("month", "active_sip_accounts_crore")).alias("m")), c("m.month"), c("m.active_sip_accounts_crore")),
+        told(highest(houses, "fund_house", "aum_lakh_crore"), fact(1, "largest_amc_aum_lakh_crore", c("fund_house"), c("aum_lakh_crore"))),
+        told(months,
+             fact(2, "sip_inflow_growth_pct", None, (c("b.sip_inflow_crore") / c("a.sip_inflow_crore") - 1) * 100, c("a.sip_inflow_crore"), c("b.sip_inflow_crore")),
+             fact(10, "latest_active_sip_accounts_crore", c("b.month"), c("b.active_sip_accounts_crore"))),
+        told(highest(category_totals(category), "category", "net_inflow_crore"), fact(3, "top_category_net_inflow_crore", c("category"), c("net_inflow_crore"))),
+        told(groups,
+             fact(4, "largest_age_group_records", c("age.label"), c("age.total")),
+             fact(5, "top_state_sip_amount_crore", c("state.label"), in_crore(c("state.total")))),
+        told(folio_ends, fact(6, "folio_growth_crore", None, c("growth_abs"), c("first_value"), c("last_value"))),
+        told(mean_pairwise(correlations), fact(7, "mean_pairwise_correlation", None, c("mean_correlation"))),
+        told(sectors, fact(8, "top_sector_share_pct", c("t.sector"), -c("t.w") * 100 / c("total"))),
+        told(focus_low(average_indexed_nav(nav), *window), fact(9, "correction_low", c("date"), c("avg_indexed_nav"))),
     ]
     report = facts[0]
     for one in facts[1:]:
@@ -236,26 +280,35 @@ def findings(
     return report
 
 
-#: This library's own wording of each finding.
+def findings(*tables: DataFrame, window: tuple[str, str] = CORRECTION_WINDOW, k: int = 10) -> DataFrame:
+    """Ten headline facts as ``(finding_no, metric, subject, value)``; tables as in ``findings_with_ends``."""
+    return findings_with_ends(*tables, window=window, k=k).select(*FINDING_COLUMNS)
+
+
+#: This library's own wording of each finding: subject, value, first and last value by position.
 _SENTENCES = {
-    1: "%s is the largest fund house with Rs. %.2f lakh crore AUM.",
-    2: "%sMonthly SIP inflows grew %.1f%% over the data.",
-    3: "%s recorded the highest cumulative net inflow at Rs. %,.0f crore.",
-    4: "%s is the age group with most transaction records (%,.0f).",
-    5: "%s is the leading SIP state by amount with Rs. %,.1f crore.",
-    6: "%sIndustry folios increased by %.2f crore.",
-    7: "%sThe largest funds show an average pairwise daily return correlation of %.2f.",
-    8: "%s is the largest equity sector at %.1f%% of summed weights.",
-    9: "%s is the local low of the average indexed NAV (%.2f).",
-    10: "%s is the latest month, with %.2f crore active SIP accounts.",
+    1: "%1$s is the largest fund house with Rs. %2$.2f lakh crore AUM.",
+    2: "Monthly SIP inflows grew %2$.1f%% over the data, from Rs. %3$,.0f crore to Rs. %4$,.0f crore.",
+    3: "%1$s recorded the highest cumulative net inflow at Rs. %2$,.0f crore.",
+    4: "%1$s is the age group with most transaction records (%2$,.0f).",
+    5: "%1$s is the leading SIP state by amount with Rs. %2$,.1f crore.",
+    6: "Industry folios increased by %2$.2f crore, from %3$.2f crore to %4$.2f crore.",
+    7: "The largest funds show an average pairwise daily return correlation of %2$.2f.",
+    8: "%1$s is the largest equity sector at %2$.1f%% of summed weights.",
+    9: "%1$s is the local low of the average indexed NAV (%2$.2f).",
+    10: "%1$s is the latest month, with %2$.2f crore active SIP accounts.",
 }
 
 
-def finding_sentences(report: DataFrame) -> DataFrame:
-    """Findings as text lines."""
+def finding_sentences(report: DataFrame, title: str | None = None) -> DataFrame:
+    """Numbered findings as text lines, of ``findings_with_ends``; below a heading if ``title`` is given."""
     subject = F.coalesce(F.col("subject"), F.lit(""))
     line = F.coalesce(*[
-        F.when(F.col("finding_no") == no, F.format_string(pattern, subject, F.col("value")))
+        F.when(F.col("finding_no") == no, F.format_string(f"{no}. {pattern}", subject, F.col("value"), F.col("from_value"), F.col("to_value")))
         for no, pattern in _SENTENCES.items()
     ])
-    return report.orderBy("finding_no").select(line.alias("value"))
+    lines = report.select(F.col("finding_no").alias("at"), line.alias("value"))
+    if title:
+        heading = report.sparkSession.createDataFrame([(-1, f"# {title}"), (0, "")], "at INT, value STRING")
+        lines = heading.unionByName(lines)
+    return lines.orderBy("at").select("value")

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlake.functions.coerce import is_number, is_whole_number
@@ -122,3 +122,32 @@ def report_lines(report: DataFrame) -> DataFrame:
         F.format_string("%s: %s %s, %s missing of %s rows", "file", "column", "dtype", "nulls", "rows"),
     ).otherwise(F.concat(F.lit("Error reading "), F.col("file"), F.lit(": "), F.col("error")))
     return report.orderBy("file", "position").select(line.alias("value"))
+
+
+def markdown_lines(spark: SparkSession, tables: Mapping[str, DataFrame], master: str, prices: str, title: str = "Data quality summary") -> DataFrame:
+    """The quality summary as markdown, one line per row and in order: sizes, duplicates, missing values, keys on one side only.
+
+    The key lists are as long as the mismatches are; they are sorted with the other lines, not gathered.
+    """
+    facts = quality_summary(spark, tables, master, prices)
+    c = F.col
+
+    def line(at: int, value) -> Column:
+        return F.struct(F.lit(at).alias("at"), F.lit("").alias("code"), (value if isinstance(value, Column) else F.lit(value)).alias("value"))
+
+    def counted(label: str, name: str) -> Column:
+        return F.concat(F.lit(f"- {label}: **"), c(name).cast("string"), F.lit("**"))
+
+    def keys(at: int, name: str, label: str, none: str) -> Column:
+        return line(at, F.when(c(name) == 0, f"- {none}").otherwise(counted(label, name)))
+
+    fixed = facts.select(F.inline(F.array(
+        line(1, f"# {title}"), line(2, ""), line(3, "## Datasets"), line(4, counted("Files analysed", "files_analysed")),
+        line(5, counted(f"Rows of {master}", "master_rows")), line(6, counted(f"Rows of {prices}", "nav_rows")),
+        line(7, ""), line(8, "## Duplicate rows"), line(9, counted(master, "master_duplicates")), line(10, counted(prices, "nav_duplicates")),
+        line(11, ""), line(12, "## Missing values"), line(13, counted(master, "master_nulls")), line(14, counted(prices, "nav_nulls")),
+        line(15, ""), line(16, "## Codes"), keys(17, "missing_codes", f"Codes of {master} without prices", f"Every code of {master} has prices"),
+        keys(19, "extra_codes", f"Priced codes that {master} does not have", f"No priced code is unknown to {master}"))))
+    sides = reconcile(tables[master], tables[prices]).select(
+        F.when(c("side") == "missing", 18).otherwise(20).alias("at"), "code", F.concat(F.lit("  - "), c("code")).alias("value"))
+    return fixed.unionByName(sides).orderBy("at", "code").select("value")

@@ -1,5 +1,6 @@
 import pytest
 
+from fundlake.operators import aggregates
 from fundlake.plans import explore, quality, reporting, warehouse
 from fundlake.session import scratch_path
 from fundlake.sources import files
@@ -112,9 +113,43 @@ def test_reports(star):
 
 
 def test_finding_sentences(spark):
-    rows = [(3, "m", "Liquid", 451275.0), (6, "m", None, 12.86)]
-    lines = [r.value for r in explore.finding_sentences(spark.createDataFrame(rows, explore.FINDINGS_SCHEMA)).collect()]
-    assert lines == ["Liquid recorded the highest cumulative net inflow at Rs. 451,275 crore.", "Industry folios increased by 12.86 crore."]
+    rows = [(6, "m", None, 12.86, 13.26, 26.12), (3, "m", "Liquid", 451275.0, None, None), (2, "m", None, 169.24, 11517.0, 31002.0)]
+    report = spark.createDataFrame(rows, "finding_no INT, metric STRING, subject STRING, value DOUBLE, from_value DOUBLE, to_value DOUBLE")
+    lines = [r.value for r in explore.finding_sentences(report).collect()]
+    assert lines == ["2. Monthly SIP inflows grew 169.2% over the data, from Rs. 11,517 crore to Rs. 31,002 crore.",
+                     "3. Liquid recorded the highest cumulative net inflow at Rs. 451,275 crore.",
+                     "6. Industry folios increased by 12.86 crore, from 13.26 crore to 26.12 crore."]
+    assert [r.value for r in explore.finding_sentences(report, "Findings").collect()] == ["# Findings", "", *lines]
+
+
+def test_value_counts_come_in_order(spark):
+    df = spark.createDataFrame([(v,) for v in "bbaaccc"] + [(None,)], "v STRING")
+    assert [tuple(r) for r in aggregates.value_counts(df, "v").collect()] == [("c", 3), ("a", 2), ("b", 2)]
+
+
+def test_year_grid_fails_on_unlisted_years_and_repeats(spark, day):
+    rows = [(day("2023-12-31"), "A", 2.0), (day("2024-06-30"), "A", 3.0), (day("2024-06-30"), "B", 1.0)]
+    aum = spark.createDataFrame(rows, "date DATE, fund_house STRING, aum_lakh_crore DOUBLE")
+    assert [tuple(r) for r in explore.aum_grid(aum, [2023, 2024]).collect()] == [("A", 2.0, 3.0), ("B", 0.0, 1.0)]
+    with pytest.raises(Exception, match="pivot key not listed"):
+        explore.aum_grid(aum, [2024]).collect()
+    months = spark.createDataFrame([(day("2024-01-01"), "Liquid", 1.0)] * 2, "month DATE, category STRING, net_inflow_crore DOUBLE")
+    with pytest.raises(Exception, match="duplicate entry in pivot"):
+        explore.category_matrix(months).collect()
+
+
+def test_reports_are_sorted(star):
+    """The order that the hash of rows does not see."""
+    flows = [(r.year, r.month) for r in reporting.net_flow(star).collect()]
+    assert flows == sorted(flows)
+    states = [(-r.total_amount_inr, -r.transaction_count) for r in reporting.transactions_by_state(star).collect()]
+    assert states == sorted(states)
+    costs = [(r.expense_ratio_pct, -r.return_3yr_pct) for r in reporting.low_cost_funds(star).collect()]
+    assert costs == sorted(costs)
+    tiers = [(r.city_tier, -r.total_amount_inr) for r in reporting.city_tier_behaviour(star).collect()]
+    assert tiers == sorted(tiers)
+    largest = [-r.aum_crore for r in reporting.largest_funds(star).collect()]
+    assert largest == sorted(largest)
 
 
 def test_age_groups_keep_fixed_order(spark):
