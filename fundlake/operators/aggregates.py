@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,9 +67,29 @@ def null_counts(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(entries))
 
 
+#: Flags a number holds.
+MASK_BITS = 62
+
+
+def masks(flags: Sequence[Column]) -> list[Column]:
+    """Flags packed into as few numbers as hold them; flag i is bit i % MASK_BITS of number i // MASK_BITS."""
+    packed = []
+    for lo in range(0, len(flags), MASK_BITS):
+        bits = [F.when(flag, F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, flag in enumerate(flags[lo : lo + MASK_BITS])]
+        packed.append(reduce(lambda x, y: x.bitwiseOR(y), bits))
+    return packed
+
+
+def row_identity(columns: Sequence[str]) -> list[Column]:
+    """Numbers that are equal for equal rows: 128 bits of hash, and which values are missing (a hash passes over those)."""
+    values = [F.col(f"`{c}`") for c in columns]
+    return [F.xxhash64(*values), F.xxhash64(F.lit("second"), *values), *masks([v.isNull() for v in values])]
+
+
 def surplus_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """How many rows repeat an earlier row; missing values compare equal."""
-    copies = df.groupBy(*(columns or df.columns)).agg(F.count("*").alias("__n"))
+    """How many rows repeat an earlier row; missing values compare equal. What is shuffled are row identities, not rows."""
+    named = [part.alias(f"__{i}") for i, part in enumerate(row_identity(columns or df.columns))]
+    copies = df.select(*named).groupBy(*[f"__{i}" for i in range(len(named))]).agg(F.count("*").alias("__n"))
     return copies.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlake.functions.coerce import is_number, is_whole_number
-from fundlake.operators.aggregates import beside, surplus_rows
+from fundlake.operators.aggregates import MASK_BITS, beside, masks, row_identity
 from fundlake.operators.dedup import distinct_values
 from fundlake.operators.sets import reconcile_keys
 from fundlake.sources.files import scan_folder
@@ -27,23 +27,30 @@ def profile_table(name: str, raw: DataFrame) -> DataFrame:
     ``int64`` when every value is a whole number and none is missing, ``float64``
     when every present value is a number, ``str`` otherwise: the types a text
     reader with inference would settle on.
+
+    One scan and one shuffle: of each different row its identity, the flags of its values and its copies.
     """
     data = raw.drop("ingest_seq")
-
-    def facts(c: str, at: int):
-        value = F.col(f"`{c}`")
-        return F.struct(
-            F.lit(c).alias("column"), F.lit(at).alias("position"), F.count_if(value.isNull()).alias("nulls"),
-            F.count_if(~is_whole_number(value)).alias("not_whole"),
-            F.count_if(~is_number(value)).alias("not_number"),
-        )
-
-    one = data.agg(
-        F.count("*").alias("rows"), F.array(*[facts(c, i) for i, c in enumerate(data.columns)]).alias("c"))
+    values = [F.col(f"`{c}`") for c in data.columns]
+    identity = row_identity(data.columns)
+    parts = {f"__id{i}": part for i, part in enumerate(identity)}
+    # Equal rows have equal flags, so these go along with the row's identity.
+    kinds = {"nulls": identity[2:], "not_whole": masks([~is_whole_number(v) for v in values]), "not_number": masks([~is_number(v) for v in values])}
+    parts |= {f"__{kind}{i}": part for kind in ("not_whole", "not_number") for i, part in enumerate(kinds[kind])}
+    places = {"nulls": [f"__id{i + 2}" for i in range(len(identity) - 2)], **{kind: [f"__{kind}{i}" for i in range(len(kinds[kind]))] for kind in ("not_whole", "not_number")}}
+    different = data.select(*[part.alias(name) for name, part in parts.items()]).groupBy(*parts).agg(F.count("*").alias("__n"))
+
+    def flagged(kind: str, at: int) -> Column:
+        bit = F.col(places[kind][at // MASK_BITS]).bitwiseAND(F.lit(1 << at % MASK_BITS))
+        return F.coalesce(F.sum(F.when(bit != 0, F.col("__n"))), F.lit(0)).alias(kind)
+
+    facts = [F.struct(F.lit(c).alias("column"), F.lit(i).alias("position"), *[flagged(kind, i) for kind in places]) for i, c in enumerate(data.columns)]
+    one = different.agg(
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("duplicate_rows"), F.array(*facts).alias("c"))
     dtype = (
         F.when((F.col("not_whole") == 0) & (F.col("nulls") == 0), "int64")
         .when(F.col("not_number") == 0, "float64").otherwise("str"))
-    tidy = beside(one.select("rows", F.inline("c")), surplus_rows(data))
+    tidy = one.select("rows", "duplicate_rows", F.inline("c"))
     notes = F.concat_ws(
         "; ", F.when(F.col("duplicate_rows") > 0, "duplicate rows"), F.when(F.col("nulls") > 0, "missing values"))
     return tidy.select(
@@ -63,15 +70,20 @@ def profile(spark: SparkSession, tables: Mapping[str, DataFrame], failures: Mapp
 def profile_folder(spark: SparkSession, folder: str) -> DataFrame:
     """Profile every CSV of a folder; a file that fails while being read is recorded.
 
-    Each profile is computed once and its rows (one per column) are kept.
+    Rows (one per column of a file) are kept by the driver.
     """
     tables, failures = scan_folder(spark, folder)
-    rows = []
-    for name, table in tables.items():
+    rows, left = [], [{name: table} for name, table in tables.items()]
+    # All files in one job; where it fails, file by file, to find the ones that cannot be read.
+    for some in [tables, *left] if tables else []:
         try:
-            rows += [tuple(row) for row in profile_table(name, table).collect()]
+            rows = [*rows, *(tuple(row) for row in profile(spark, some).collect())]
         except (PySparkException, Py4JError) as problem:
-            failures[name] = str(problem).splitlines()[0]
+            if some is not tables:
+                failures[next(iter(some))] = str(problem).splitlines()[0]
+        else:
+            if some is tables:
+                break
     rows += [(name, *[None] * 7, reason) for name, reason in failures.items()]
     return spark.createDataFrame(rows, PROFILE_SCHEMA)
 

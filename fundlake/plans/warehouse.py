@@ -16,7 +16,7 @@ from fundlake import schemas as S
 from fundlake.functions.calendar import calendar_columns, date_key
 from fundlake.functions.coerce import empty_to_null
 from fundlake.operators.aggregates import beside
-from fundlake.operators.constraints import TableRules, violations
+from fundlake.operators.constraints import TableRules, all_violations
 from fundlake.operators.dedup import distinct_dates
 from fundlake.operators.ranking import row_numbers
 from fundlake.sources.files import read_table, write_table
@@ -121,11 +121,7 @@ def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> None:
 
 def check_constraints(tables: Mapping[str, DataFrame]) -> DataFrame:
     """``(table, rule, violations)`` over the whole star."""
-    report = None
-    for name, rules in declared_rules().items():
-        part = violations(name, tables[name], rules, tables)
-        report = part if report is None else report.unionByName(part)
-    return report
+    return all_violations(tables, declared_rules())
 
 
 def compare_row_counts(sources: Mapping[str, DataFrame], tables: Mapping[str, DataFrame]) -> DataFrame:
