@@ -37,11 +37,11 @@ def _csv_scan_dates(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "scan")
     files.write_csv(_raw_columns(t.r_txn), path)
     df = files.read_csv_with_dates(t.spark, path, ["transaction_date"], S.INVESTOR_TRANSACTIONS)
-    return df.select("investor_id", "transaction_date", "transaction_type")
+    return _raw_columns(df)
 
 
 check("s2_csv_scan_dates", _csv_scan_dates,
-      "SELECT investor_id, try_cast(transaction_date AS DATE) AS transaction_date, transaction_type FROM {r_txn}")
+      "SELECT * EXCLUDE (ingest_seq) REPLACE (try_cast(transaction_date AS DATE) AS transaction_date) FROM {r_txn}")
 
 
 def _raw_folder(t: Tables) -> str:
@@ -322,14 +322,15 @@ def _last(table: str, keys: list[str], extra: list[str]):
     return lambda t: dedup.keep_last(getattr(t, table), keys).select(*keys, *extra)
 
 
-for _name, _table, _keys, _extra in [
-    ("d1_keep_last_code", "r_funds", ["amfi_code"], ["scheme_name"]),
-    ("d2_keep_last_date_house", "r_aum", ["date", "fund_house"], ["aum_crore"]),
-    ("d3_keep_last_month", "r_sip", ["month"], ["sip_inflow_crore"]),
-    ("d4_keep_last_month_category", "r_category", ["month", "category"], ["net_inflow_crore"]),
-    ("d5_keep_last_holding", "r_holdings", ["amfi_code", "portfolio_date", "stock_symbol"], ["weight_pct"]),
-    ("d6_keep_last_date_index", "r_index", ["date", "index_name"], ["close_value"]),
+for _name, _table, _keys, _columns in [
+    ("d1_keep_last_code", "r_funds", ["amfi_code"], S.FUND_MASTER),
+    ("d2_keep_last_date_house", "r_aum", ["date", "fund_house"], S.AUM_BY_FUND_HOUSE),
+    ("d3_keep_last_month", "r_sip", ["month"], S.MONTHLY_SIP_INFLOWS),
+    ("d4_keep_last_month_category", "r_category", ["month", "category"], S.CATEGORY_INFLOWS),
+    ("d5_keep_last_holding", "r_holdings", ["amfi_code", "portfolio_date", "stock_symbol"], S.PORTFOLIO_HOLDINGS),
+    ("d6_keep_last_date_index", "r_index", ["date", "index_name"], S.BENCHMARK_INDICES),
 ]:
+    _extra = [c for c in _columns if c not in _keys]
     check(_name, _last(_table, _keys, _extra), _keep_last_sql(_table, ", ".join(_keys), ", ".join(_extra)))
 
 check("d7_dedup_before_filter",

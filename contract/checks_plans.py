@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from contract.registry import CHECKS, check
 from contract.tables import Tables
 from fundlake import schemas as S
 from fundlake.operators import series
-from fundlake.plans import cleaning, explore, quality, reporting, returns, scorecard, warehouse
+from fundlake.plans import cleaning, explore, publication, quality, reporting, returns, scorecard, warehouse
 from fundlake.session import scratch_path
 from fundlake.sources import files
 
@@ -38,7 +40,7 @@ check("k8_benchmark_returns", lambda t: t.x_index_returns, "SELECT * FROM {x_ind
 check("k9_growth", lambda t: series.growth(t.x_sip, "sip_inflow_crore", "month"), """
 SELECT a AS first_value, b AS last_value, b - a AS growth_abs, (b / a - 1) * 100 AS growth_pct
 FROM (SELECT arg_min(sip_inflow_crore, month) AS a, arg_max(sip_inflow_crore, month) AS b FROM {x_sip}) t""", ["growth_pct"])
-check("k10_growth_comparison", lambda t: scorecard.growth_comparison(t.scorecard(), t.x_returns_named, t.x_index), """
+check("k10_growth_comparison", lambda t: scorecard.growth_comparison(t.scorecard(), t.x_nav, t.x_index), """
 SELECT date, series_name, level / first_value(level) OVER (PARTITION BY series_name ORDER BY date) * 100 AS normalized_value FROM (
   SELECT n.date, s.scheme_name AS series_name, n.nav AS level FROM {x_nav} n JOIN (SELECT amfi_code, scheme_name FROM {x_scorecard} WHERE fund_rank <= 5) s USING (amfi_code)
   UNION ALL SELECT date, index_name, close_value FROM {x_index} WHERE index_name IN ('NIFTY50', 'NIFTY100')) u
@@ -220,10 +222,19 @@ def _run_one(dataset: str):
 
 
 check("c13_run_one_nav", lambda t: _run_one("nav_history")(t).select(C("amfi_code").cast("long").alias("amfi_code"), C("date").cast("date").alias("date"), C("nav").cast("double").alias("nav")), _NAV_SQL)
-check("c13_run_one_transactions", lambda t: _run_one("investor_transactions")(t).select("investor_id", "transaction_date", "transaction_type", C("amount_inr").cast("long").alias("amount_inr"), "kyc_status"),
-      f"SELECT investor_id, CAST(transaction_date AS VARCHAR) AS transaction_date, transaction_type, amount_inr, kyc_status FROM ({_TXN_SQL}) q")
-check("c13_run_one_performance", lambda t: _run_one("scheme_performance")(t).select(C("amfi_code").cast("long").alias("amfi_code"), "anomaly_flag", C("aum_crore").cast("long").alias("aum_crore")),
-      f"SELECT amfi_code, nullif(anomaly_flag, '') AS anomaly_flag, aum_crore FROM ({_PERF_SQL}) q")
+
+
+def _typed(dataset: str, like: str):
+    """A runner's file with the types of the pipeline's result, every column."""
+    def run(t: Tables) -> DataFrame:
+        types = dict(cleaning.clean(dataset, getattr(t, like)).dtypes)
+        back = _run_one(dataset)(t)
+        return back.select(*[C(name).cast(types[name]).alias(name) for name in types])
+    return run
+
+
+check("c13_run_one_transactions", _typed("investor_transactions", "r_txn"), _TXN_SQL)
+check("c13_run_one_performance", _typed("scheme_performance", "r_perf"), f"SELECT * REPLACE (nullif(anomaly_flag, '') AS anomaly_flag) FROM ({_PERF_SQL}) q")
 
 # --- W10-W14: warehouse -----------------------------------------------------------------
 check("w10_dim_fund", lambda t: warehouse.dim_fund(t.x_funds), "SELECT * FROM {s_dim_fund}")
@@ -252,6 +263,32 @@ check("w14_row_counts", _row_counts, " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, (SELECT count(*) FROM {{{src}}}) AS source_rows, (SELECT count(*) FROM {{{src}}}) AS table_rows, 'OK' AS status"
     for name, src in {"dim_fund": "x_funds", "fact_nav": "x_nav", "fact_aum": "x_aum", "fact_performance": "x_perf", "fact_transactions": "x_txn"}.items()))
 
+
+
+def _publish(t: Tables, root: str, aum: DataFrame | None = None) -> str:
+    return publication.publish(t.spark, root, t.x_funds, t.x_nav, t.x_aum if aum is None else aum, t.x_flagged, t.x_txn)
+
+
+def _published_after_a_failed_load(t: Tables) -> DataFrame:
+    """Rows of the star that readers see when a later load with broken amounts was held back."""
+    root = scratch_path(t.spark, "published")
+    _publish(t, root)
+    try:
+        _publish(t, root, t.x_aum.withColumn("aum_crore", -C("aum_crore")))
+    except publication.GateFailed:
+        pass
+    else:
+        raise AssertionError("a broken load was published")
+    parts = [table.agg(F.lit(name).alias("table_name"), F.count("*").alias("rows")) for name, table in publication.open_star(t.spark, root).items()]
+    parts.append(publication.open_star(t.spark, root)["fact_aum"].agg(F.lit("fact_aum below zero").alias("table_name"), F.count_if(C("aum_crore") < 0).alias("rows")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+check("s8_published_star", _published_after_a_failed_load, """
+SELECT 'dim_fund' AS table_name, count(*) AS rows FROM {x_funds} UNION ALL SELECT 'dim_date', count(*) FROM {s_dim_date} UNION ALL SELECT 'fact_nav', count(*) FROM {x_nav}
+UNION ALL SELECT 'fact_transactions', count(*) FROM {x_txn} UNION ALL SELECT 'fact_performance', count(*) FROM {x_perf} UNION ALL SELECT 'fact_aum', count(*) FROM {x_aum}
+UNION ALL SELECT 'fact_aum below zero', CAST(0 AS BIGINT)""")
+
 # --- Y: data quality --------------------------------------------------------------------
 _PROFILE_SQL = """
 SELECT 'nav' AS file, c AS "column", p AS position, ty AS dtype, 0 AS nulls, (SELECT count(*) FROM {r_nav}) AS rows,
@@ -375,8 +412,8 @@ def _export(part: str):
 
 
 _ALPHA_BETA = ("amfi_code", "scheme_name", "fund_house", "category", "alpha_daily", "alpha_annualized_pct", "beta", "r_squared", "regression_observations")
-check("s10_alpha_beta", _export("alpha_beta"), f"SELECT {', '.join(_ALPHA_BETA)} FROM {{x_metrics}}", {c: d for c, d in _METRIC_DIGITS.items() if c in _ALPHA_BETA} if isinstance(_METRIC_DIGITS, dict) else [c for c in _METRIC_DIGITS if c in _ALPHA_BETA])
-check("s10_scorecard", lambda t: _export("fund_scorecard")(t).select("fund_rank", "amfi_code", "scheme_name", "fund_score"), "SELECT fund_rank, amfi_code, scheme_name, fund_score FROM {x_scorecard}", {"fund_score": 6})
+check("s10_alpha_beta", _export("alpha_beta"), f"SELECT {', '.join(_ALPHA_BETA)} FROM {{x_metrics}}", {c: d for c, d in _METRIC_DIGITS.items() if c in _ALPHA_BETA})
+check("s10_scorecard", _export("fund_scorecard"), "SELECT * FROM {x_scorecard}", _METRIC_DIGITS | {c: 8 for c in _SCORE_COLUMNS})
 
 # --- E: result sets ---------------------------------------------------------------------
 check("e1_nav_trend", lambda t: explore.nav_trend(t.x_nav, t.x_funds), """

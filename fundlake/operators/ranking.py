@@ -83,7 +83,7 @@ def min_ranks(df: DataFrame, metrics: Mapping[str, tuple[str, bool]]) -> DataFra
         entries = F.array(*[F.struct(F.lit(out).alias("__metric"), F.col(metrics[out][0]).alias("__value")) for out in outs])
         positions = cumulative_counts(df.select(F.inline(entries)), "__value", ["__metric"])
         upward, downward = F.col("before") + 1, F.col("total") - F.col("before") - F.col("n") + 1
-        ranks = cut_lineage(positions.select("__metric", "__value", upward.alias("__up"), downward.alias("__down")))
+        ranks = positions.select("__metric", "__value", upward.alias("__up"), downward.alias("__down"))
         for out in outs:
             name, ascending = metrics[out]
             one = ranks.where(F.col("__metric") == out).select(F.col("__value").alias(f"__{out}"), F.col("__up" if ascending else "__down").alias(out))

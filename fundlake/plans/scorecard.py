@@ -55,12 +55,15 @@ def best_funds(ranked: DataFrame, n: int = 5) -> DataFrame:
     return ranked.orderBy("fund_rank").limit(n)
 
 
-def growth_comparison(ranked: DataFrame, daily: DataFrame, indices: DataFrame, top: int = 5, years: int = 3) -> DataFrame:
-    """Growth of 100 over the last years: the best funds against the two indices."""
-    end = daily.select(F.max("date")).scalar()
+def growth_comparison(ranked: DataFrame, nav: DataFrame, indices: DataFrame, top: int = 5, years: int = 3) -> DataFrame:
+    """Growth of 100 over the last years: the best funds against the two indices.
+
+    ``nav`` holds prices by amfi_code and date; names come with the ranking. Only prices of the chosen funds and years are sorted.
+    """
+    end = nav.select(F.max("date")).scalar()
     recent = (F.col("date") >= years_before(end, years)) & (F.col("date") <= end)
-    codes = best_funds(ranked, top).select("amfi_code")
-    funds = daily.where(recent).join(F.broadcast(codes), "amfi_code", "left_semi").select(
+    best = best_funds(ranked, top).select("amfi_code", "scheme_name")
+    funds = nav.select("amfi_code", "date", "nav").where(recent & F.col("nav").isNotNull()).join(F.broadcast(best), "amfi_code").select(
         "date", F.col("scheme_name").alias("series_name"), F.col("nav").alias("level"))
     compared = indices.where(recent & F.col("index_name").isin(*S.COMPARISON_INDICES)).select(
         "date", F.col("index_name").alias("series_name"), F.col("close_value").alias("level"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,13 @@ def build_session(app: str = "fundlake", master: str | None = None, **conf) -> S
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession, folder: str) -> str:
+    """Bring this package to executors that do not have it installed: a zip in ``folder``, added to the session's files."""
+    archive = shutil.make_archive(f"{folder.rstrip('/')}/fundlake", "zip", Path(__file__).parent.parent, "fundlake")
+    spark.sparkContext.addPyFile(archive)
+    return archive
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; where that is unset, one in the warehouse.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.errors import PySparkException
@@ -18,24 +19,46 @@ def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = Non
     """Columns as text with NULL for missing tokens, plus ``ingest_seq``.
 
     Names come from the header; ``columns`` selects by name, so the order in the
-    file does not matter. ``ingest_seq`` orders rows as they lie in the files: file, then block, then
-    position inside the block. Types are given later, by explicit rules, so no
+    file does not matter. ``ingest_seq`` orders rows as they lie in the files. Types are given later, by explicit rules, so no
     inference pass over the data is needed.
     """
     raw = spark.read.option("header", True).option("mode", "FAILFAST").option("escape", '"').csv(path)
     names = raw.columns
-    placed = raw.select(
-        *[F.col(f"`{name}`") for name in names],
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias("ingest_seq"),
-    )
+    placed = _with_arrival(raw).select(*[F.col(f"`{name}`") for name in names], "ingest_seq")
     named = strip_headers(placed)
     return nulls_for_tokens(named.select(*columns, "ingest_seq") if columns else named)
 
 
+def _with_arrival(raw: DataFrame) -> DataFrame:
+    """Add ``ingest_seq``, one 64-bit number: file by name, then block of the file, then row of the task.
+
+    A task reads blocks of a file from their start, so its row counter orders the rows of a block, and starts of blocks lie at
+    least ``unit`` bytes apart. Sorts and comparisons see a number where a path stood.
+    """
+    spark = raw.sparkSession
+    # The listing writes local paths with an empty host, the rows without.
+    paths = sorted(re.sub("^file:/+", "file:/", path) for path in raw.inputFiles())
+    size = lambda name: int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)))
+    most = size("spark.sql.files.maxPartitionBytes")
+    unit = max(min(most, size("spark.sql.files.openCostInBytes")), 1)
+    file_bits = max(len(paths) - 1, 0).bit_length()
+    # A row takes a byte at least; a file that cannot be split may be larger than a block.
+    row_bits = 33 if any(path.endswith((".gz", ".deflate", ".snappy", ".zst", ".xz")) for path in paths) else min(most.bit_length() + 1, 33)
+    block_bits = 63 - file_bits - row_bits
+    numbered = raw.select("*", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_block_start").alias("__block"))
+    if len(paths) > 1:
+        # As many rows as the driver has listed files.
+        files = spark.createDataFrame([(path, i) for i, path in enumerate(paths)], "__path STRING, __file BIGINT")
+        numbered = numbered.join(F.broadcast(files), "__path", "left")
+    else:
+        numbered = numbered.withColumn("__file", F.lit(0).cast("long"))
+    block = F.floor(F.col("__block") / unit).cast("long")
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    fits = F.col("__file").isNotNull() & (block < (1 << block_bits)) & (row < (1 << row_bits))
+    packed = F.shiftleft(F.shiftleft(F.col("__file"), block_bits).bitwiseOR(block), row_bits).bitwiseOR(row)
+    return numbered.withColumn("ingest_seq", F.when(fits, packed).otherwise(F.raise_error(F.lit("arrival position does not fit 64 bits")).cast("long")))
+
+
 def read_csv_with_dates(
     spark: SparkSession, path: str, dates: Sequence[str], columns: Sequence[str] | None = None
 ) -> DataFrame:
