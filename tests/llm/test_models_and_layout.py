@@ -1,11 +1,14 @@
+import math
 import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import zstandard
 import pytest
 from pyspark.sql import functions as F
 
-from fundlake.llm import kdtree, labelled, language, mixing, ordinal, token_store, toxicity
+from fundlake.llm import kdtree, labelled, language, mixing, ordinal, text, token_store, toxicity
 from tests.llm.cases import AWKWARD, prose, table
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -237,6 +240,59 @@ def test_toxicity_of_held_out_texts(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got.values())
 
 
+def test_savings_equal_windows_compressed_one_by_one():
+    ordinary, toxic = b"the and of to in that ordinary words ", b"the and of to in that ordinary words   worthless  loser "
+    texts = ["", "a", "The worthless text of that LOSER and others " * 3, prose(1, 70), "loser", "é" * 100]
+    block = next(text.blocks(pa.array(texts)))
+    want = []
+    for t in texts:
+        data = t.translate({c: c + 32 for c in range(65, 91)}).encode()
+        found = [0]
+        for a in range(0, max(len(data) - toxicity.WINDOW_BYTES, 0) + toxicity.STEP_BYTES, toxicity.STEP_BYTES):
+            window = data[a : a + toxicity.WINDOW_BYTES]
+            if window and (a == 0 or a + toxicity.WINDOW_BYTES - toxicity.STEP_BYTES < len(data)):
+                sizes = [len(zstandard.ZstdCompressor(level=toxicity.LEVEL, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_checksum=False, write_dict_id=False).compress(window)) for d in (ordinary, toxic)]
+                found.append(sizes[0] - sizes[1])
+        want.append(max(found))
+    assert toxicity.savings(block, toxicity.Model(ordinary, toxic, ())).tolist() == want and want[2] > 3
+
+
+def test_evidence_is_a_bound_on_the_binomial_tail():
+    for n in (1, 3, 10, 40):
+        for share in (0.05, 0.3):
+            for x in range(n + 1):
+                tail = sum(math.comb(n, k) * share**k * (1 - share) ** (n - k) for k in range(x, n + 1))
+                bound = math.exp(-float(toxicity.evidence(np.array([float(x)]), np.array([float(n)]), share)[0]))
+                assert bound >= tail * (1 - 1e-9) and (x < n or bound == pytest.approx(tail))
+
+
+def test_a_family_of_alike_texts_brings_in_few_words():
+    # Words 0-3 each in other toxic texts, words 4-9 all in the same eight; word 10 everywhere.
+    entries = [(w, 20 * w + t, 1.0) for w in range(4) for t in range(20)] + [(w, 100 + t, 1.0) for w in range(4, 10) for t in range(8)] + [(10, t, float(t < 108)) for t in range(400)]
+    words, texts, toxic = (np.array(x) for x in zip(*entries))
+    order = [w for w, _ in toxicity._taken(words, texts, toxic, np.ones(11), 0.2, math.log(1000 / 0.05), np.full(11, 8))]
+    assert set(order[:4]) == {0, 1, 2, 3} and len([w for w in order if 4 <= w < 10]) == 1 and 10 not in order
+
+
+def test_few_texts_suffice_and_phrases_are_found(spark):
+    """A small sample with phrases of several words; half of the labels of plain text are wrong one time in ten."""
+    rng = random.Random(12)
+    phrases = ["go drown yourself", "utter waste of skin", "nobody wants you here"]
+    rows = []
+    for k in range(600):
+        w = prose(90_000 + k, 50).split()
+        bad = k % 5 == 0
+        if bad:
+            w[rng.randrange(40)] = rng.choice(phrases)
+        rows.append((k, " ".join(w), int(bad or rng.random() < 0.05), bad))
+    train, probe = rows[:300], rows[300:]
+    model = toxicity.fit(table(spark, [r[:2] for r in train]), spark.createDataFrame([(r[0], r[2]) for r in train], "doc_id BIGINT, label INT"))
+    got = {r.doc_id: r for r in toxicity.score(table(spark, [r[:2] for r in probe]), model).collect()}
+    caught = [got[i].predicted for i, _, _, bad in probe if bad]
+    alone = [1 - got[i].predicted for i, _, _, bad in probe if not bad]
+    assert len({r.score for r in got.values()}) > 1 and np.mean(caught) > 0.8 and np.mean(alone) > 0.95
+
+
 def test_toxicity_of_awkward_rows(spark):
     train = toxic_rows(60, 3)
     labels = spark.createDataFrame([(r[0], r[2]) for r in train] + [(None, 1), (5, None), (999, 1)], "doc_id BIGINT, label INT")
