@@ -6,7 +6,7 @@ on the full shingle sets. Components come from alternating large-star and small-
 
 Copies and crowded buckets, without pairs of everybody with everybody:
 
-1. Texts with the same shingle set form one class, led by the smallest id. Only leaders go on.
+1. Texts with the same shingle set form one class, named by a number. Only classes go on.
 2. Each member of a bucket is verified against the bucket's smallest member. That joins
    most of a group of thousands of near copies with a row per member.
 3. What is left are buckets that still hold several components. Their members are cut into
@@ -20,7 +20,7 @@ Misses: a pair at exactly 0.75 agrees in none of 64 bands of 4 with probability
 fall fast with rising similarity.
 
 Defined cases: a null or wordless text has an empty set (n_shingles 0), its own component
-and is kept; rows that share a doc_id fall into one component; a row without doc_id takes
+and is kept; rows that share a doc_id fall into one component, with whatever any of their texts is linked to; a row without doc_id takes
 the component of equal texts and is not kept. Input order and other columns play no role.
 """
 
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundlake.llm.tables import components, stored
@@ -101,13 +101,18 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Signature and shingles of the texts that have their class's fingerprint (an id may have other texts too)."""
     for batch in batches:
         for block in blocks(batch["text"]):
             grams, first = shingle_sets(block)
-            low = minima(grams, first).astype(np.uint8)  # the low byte of each minimum
+            prints = _fingerprints(grams, first).view(np.int64)
+            wanted = np.stack([batch[name].slice(block.lo, len(block)).to_numpy() for name in ("f1", "f2")], 1)
+            own = (prints == wanted).all(1) & (np.diff(first) > 0)
+            low = minima(grams, first).astype(np.uint8)[own[np.flatnonzero(np.diff(first))]]  # the low byte of each minimum
+            grams, first = grams[np.repeat(own, np.diff(first))], np.concatenate(([0], np.cumsum(np.diff(first)[own])))
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"].slice(block.lo, len(block)), pa.array([row.tobytes() for row in low], pa.binary()), _lists(grams, first)],
-                names=["doc_id", "signature", "shingles"],
+                [batch["leader"].slice(block.lo, len(block)).filter(pa.array(own)), pa.array([row.tobytes() for row in low], pa.binary()), _lists(grams, first)],
+                names=["leader", "signature", "shingles"],
             )
 
 
@@ -147,37 +152,55 @@ def _compare(table: pa.Table) -> pa.Table:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id long, text)."""
+    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id long, text).
+
+    A class of equal sets has a number of its own (``leader``), as one doc_id may lead several classes.
+    """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     described = stored(texts.mapInArrow(_describe, "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>"), "described")
-    leaders = (
-        described.where("n_shingles > 0 and doc_id is not null").groupBy("f1", "f2", "n_shingles")
-        .agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("leader"))
-    )
+    worded = described.where("n_shingles > 0 and doc_id is not null")
+    leaders = worded.groupBy("f1", "f2", "n_shingles").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("doc_id"))
+    leaders = stored(leaders.withColumn("leader", F.monotonically_increasing_id()), "leaders")
     entries = stored(leaders.select("leader", F.explode("bands").alias("band")), "bands")
     buckets = stored(entries.groupBy("band").agg(F.min("leader").alias("centre"), F.count("*").alias("n")).where("n > 1"), "buckets")
     members = stored(entries.join(buckets, "band").select("band", "leader", "centre"), "members")
-    candidates = members.select(F.col("leader").alias("doc_id")).distinct()
-    kept_texts = texts.join(candidates, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = stored(kept_texts.mapInArrow(_sets, "doc_id long, signature binary, shingles array<long>"), "sets")
+    candidates = leaders.join(members.select("leader").distinct(), "leader", "left_semi").select("leader", "doc_id", "f1", "f2")
+    kept_texts = texts.join(candidates, "doc_id").withColumn("same", F.xxhash64("text")).dropDuplicates(["leader", "same"]).drop("doc_id", "same")
+    sets = stored(kept_texts.select("leader", "f1", "f2", "text").mapInArrow(_sets, "leader long, signature binary, shingles array<long>"), "sets")
 
     stars = members.where("leader <> centre").select("leader", "centre").distinct()
     sized = F.size(F.array_intersect("x", "y"))
     joined = (
-        stars.join(sets.select(F.col("doc_id").alias("leader"), F.col("shingles").alias("x")), "leader")
-        .join(sets.select(F.col("doc_id").alias("centre"), F.col("shingles").alias("y")), "centre")
+        stars.join(sets.select("leader", F.col("shingles").alias("x")), "leader")
+        .join(sets.select(F.col("leader").alias("centre"), F.col("shingles").alias("y")), "centre")
         .where(100 * sized >= 75 * (F.size("x") + F.size("y") - sized))
         .select(F.col("leader").alias("a"), F.col("centre").alias("b"))
     )
     links = stored(joined, "star_links")
     more = stored(_between_components(members, sets, components(links)), "block_links")
-    whole = components(links.union(more))
-    of_leader = whole.select(F.col("node").alias("leader"), F.col("component").alias("of_leader"))
-    named = leaders.select("f1", "f2", F.col("n_shingles").alias("n"), "leader").join(of_leader, "leader", "left")
-    named = named.select("f1", "f2", "n", F.coalesce("of_leader", "leader").alias("of_class"))
-    return described.select("doc_id", "n_shingles", "f1", "f2").join(
+
+    # Classes that share a doc_id are one document.
+    number = leaders.select("f1", "f2", F.col("n_shingles").alias("n"), "leader")
+    kind = F.struct("f1", "f2", "n_shingles")
+    torn = worded.groupBy("doc_id").agg(F.min(kind).alias("lo"), F.max(kind).alias("hi")).where("lo <> hi").select("doc_id")
+    of_torn = worded.join(torn, "doc_id", "left_semi").select("doc_id", "f1", "f2", F.col("n_shingles").alias("n")).distinct().join(number, ["f1", "f2", "n"]).select("doc_id", "leader")
+    of_torn = stored(of_torn, "torn")
+    ties = of_torn.join(of_torn.groupBy("doc_id").agg(F.min("leader").alias("least")), "doc_id").where("leader <> least").select(F.col("leader").alias("a"), F.col("least").alias("b"))
+
+    whole = components(links.union(more).union(ties))
+    led = leaders.select("leader", "doc_id").join(whole.select(F.col("node").alias("leader"), F.col("component").alias("joined")), "leader", "left")
+    led = led.withColumn("joined", F.coalesce("joined", "leader"))
+    smallest = led.groupBy("joined").agg(F.min("doc_id").alias("of_class"))
+    named = number.join(led.select("leader", "joined"), "leader").join(smallest, "joined").select("f1", "f2", "n", "of_class")
+    rows = described.select("doc_id", "n_shingles", "f1", "f2")
+    with_words = rows.where("n_shingles > 0").join(
         named, (described.f1 == named.f1) & (described.f2 == named.f2) & (described.n_shingles == named.n), "left"
     ).select("doc_id", "n_shingles", F.coalesce("of_class", "doc_id").alias("component_id"))
+    # A wordless row whose doc_id has words elsewhere goes with them.
+    blank = rows.where("n_shingles = 0").select("doc_id", "n_shingles")
+    elsewhere = with_words.join(blank.select("doc_id").distinct(), "doc_id", "left_semi").groupBy(F.col("doc_id").alias("id")).agg(F.min("component_id").alias("of_id"))
+    wordless = blank.join(elsewhere, blank.doc_id == elsewhere.id, "left").select("doc_id", "n_shingles", F.coalesce("of_id", "doc_id").alias("component_id"))
+    return with_words.union(wordless)
 
 
 def _between_components(members: DataFrame, sets: DataFrame, known: DataFrame) -> DataFrame:
@@ -186,7 +209,7 @@ def _between_components(members: DataFrame, sets: DataFrame, known: DataFrame) -
     named = named.withColumn("component", F.coalesce("component", "leader"))
     open_bands = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("band")
     rows = stored(named.join(open_bands, "band"), "open_buckets")
-    sizes = sets.select(F.col("doc_id").alias("leader"), (F.size("shingles") * 8 + N_HASHES).cast("long").alias("bytes"))
+    sizes = sets.select("leader", (F.size("shingles") * 8 + N_HASHES).cast("long").alias("bytes"))
     homes = rows.groupBy("leader", "component").agg(F.min("centre").alias("home")).join(sizes, "leader")
     crowd = homes.groupBy("home", "component").agg(F.count("*").alias("n"))
     pooled = homes.join(crowd, ["home", "component"]).withColumn("pool", F.when(F.col("n") >= BLOCK_ROWS // 2, F.col("component")).otherwise(F.lit(-1)))
@@ -206,7 +229,7 @@ def _between_components(members: DataFrame, sets: DataFrame, known: DataFrame) -
     same = F.col("block") == F.col("block2")
     sides = pairs.select(pair, "block", F.lit(True).alias("left"), same.alias("right")).union(
         pairs.where("block <> block2").select(pair, F.col("block2").alias("block"), F.lit(False), F.lit(True)))
-    inputs = sides.join(placed.select("block", "leader", "component"), "block").join(sets.withColumnRenamed("doc_id", "leader"), "leader")
+    inputs = sides.join(placed.select("block", "leader", "component"), "block").join(sets, "leader")
     inputs = inputs.select("pair", F.col("leader").alias("doc_id"), "component", "left", "right", "signature", "shingles")
     return inputs.groupBy("pair").applyInArrow(_compare, "a long, b long")
 
@@ -219,11 +242,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that lead their component, once each.
 
-    Rows that share a doc_id are one document, of which one row remains. Rows without
+    Rows that share a doc_id are one document, of which one row remains (the text with the smallest hash). Rows without
     doc_id count as documents behind all others, equal texts as one.
     """
     behind = F.shiftrightunsigned(F.xxhash64("text"), 3) + F.lit(1 << 62)
     named = docs.withColumn("_neardup_row", F.coalesce(F.col("doc_id").cast("long"), behind))
     found = near_duplicates(named.select(F.col("_neardup_row").alias("doc_id"), "text")).where("kept")
     verdict = found.select(F.col("doc_id").alias("_neardup_row")).distinct()
-    return named.join(verdict, "_neardup_row", "left_semi").dropDuplicates(["_neardup_row"]).drop("_neardup_row")
+    first = F.row_number().over(Window.partitionBy("_neardup_row").orderBy(F.xxhash64("text")))
+    kept = named.join(verdict, "_neardup_row", "left_semi").withColumn("_neardup_place", first).where("_neardup_place = 1")
+    return kept.drop("_neardup_row", "_neardup_place")

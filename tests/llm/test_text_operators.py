@@ -72,6 +72,17 @@ def test_near_duplicates_of_awkward_rows(spark):
     assert neardup.near_duplicates(table(spark, [])).count() == 0
 
 
+def test_near_duplicates_of_ids_with_several_texts(spark):
+    a, b, c = prose(21, 60), prose(22, 60), prose(23, 60)
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (4, c), (5, None), (5, c + " z"), (6, ""), (7, prose(24, 60)), (7, prose(24, 60).upper())]
+    want = {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 6, 7: 7}
+    got = neardup.near_duplicates(table(spark, rows)).collect()
+    assert len(got) == len(rows) and all(r.component_id == want[r.doc_id] for r in got)
+    left = neardup.drop_near_duplicates(table(spark, rows)).collect()
+    assert sorted(r.doc_id for r in left) == [1, 4, 6, 7]
+    assert neardup.drop_near_duplicates(table(spark, rows[::-1])).where("doc_id = 1").first().text == next(r.text for r in left if r.doc_id == 1)
+
+
 def test_containment_matches_brute_force(spark):
     items = {k: prose(k, 6 + 5 * k) for k in range(10)} | {20: "too short", 21: None, 22: "exactly five words are here"}
     rng = random.Random(4)
