@@ -13,8 +13,8 @@ ordered by the group's hash, so a node of equal points can be split as well.
 
 Groups stay whole. If a group is so heavy that the widest dimension's best cut misses its
 target by more than TOLERANCE of a shard, the dimension with the nearest cut is taken. Only a
-group over MOST_OF_SHARD of a shard's target (which no cut can place) is first divided into
-pieces by a hash of doc_id, each a point of its own.
+group over MOST_OF_SHARD of a shard's target (which no cut can place) is first divided by a hash of doc_id into
+pieces, PIECES for each shard that it fills, each a point of its own: law `bytes` cannot hold otherwise.
 
 Slots number a shard's rows from 0 without gaps: rows are counted by (shard, hash bucket), the
 counts are added up, and a window numbers the rows of one bucket only. The number of buckets
@@ -36,7 +36,7 @@ from fundlake.llm.tables import stored
 BINS = 1024
 TOLERANCE = 0.01
 MOST_OF_SHARD = 0.5
-PIECES = 64
+PIECES = 24
 BUCKET_ROWS = 2000
 FILE_ROWS = 20_000
 #: Keys are (value scaled to 20 bits, 42 bits of hash).
@@ -58,10 +58,10 @@ def metadata(docs: DataFrame) -> dict[str, Column]:
 
 
 def _identity() -> list[Column]:
-    return [F.xxhash64("text").alias("_g1"), F.xxhash64(F.lit(17), "text").alias("_g2"), size_of().alias("_g3")]
+    return [F.xxhash64("text").alias("_kd_g1"), F.xxhash64(F.lit(17), "text").alias("_kd_g2"), size_of().alias("_kd_g3")]
 
 
-_KEY = ["_g1", "_g2", "_g3"]
+_KEY = ["_kd_g1", "_kd_g2", "_kd_g3"]
 
 
 def _values(spark: SparkSession, columns: str, rows: list[tuple]) -> DataFrame:
@@ -74,31 +74,32 @@ def assign(docs: DataFrame, n_shards: int | None = None, target_bytes: int | Non
     Give the number of shards, or the bytes that none should much exceed.
     """
     dimensions = dimensions or metadata(docs)
-    d = [f"_d{k}" for k in range(len(dimensions))]
-    piece = F.pmod(F.xxhash64("doc_id"), F.lit(PIECES)) if "doc_id" in docs.columns else F.lit(0).cast("long")
-    rows = docs.select(*docs.columns, *(column.alias(name) for name, column in zip(d, dimensions.values())), *_identity(), piece.alias("_own_piece"))
+    d = [f"_kd_d{k}" for k in range(len(dimensions))]
+    piece = F.xxhash64("doc_id") if "doc_id" in docs.columns else F.lit(0).cast("long")
+    rows = docs.select(*docs.columns, *(column.alias(name) for name, column in zip(d, dimensions.values())), *_identity(), piece.alias("_kd_own_piece"))
     # Narrow tables that are read many times come in few files.
     files = max(4, docs.count() // FILE_ROWS)
-    groups = stored(rows.groupBy(*_KEY).agg(F.sum("_g3").alias("_w"), *(F.min(x).alias(x) for x in d)).coalesce(files), "groups")
+    groups = stored(rows.groupBy(*_KEY).agg(F.sum("_kd_g3").alias("_w"), *(F.min(x).alias(x) for x in d)).coalesce(files), "groups")
     weight, *ranges = groups.agg(F.sum("_w"), *(f(x) for x in d for f in (F.min, F.max))).first()
     weight = weight or 0
     if n_shards is None:
         n_shards = max(1, math.ceil(weight / max(1, target_bytes or 1)))
     heavy = groups.where(F.col("_w") > MOST_OF_SHARD * weight / n_shards)  # fewer than 2 * n_shards groups
-    marked = rows.drop(*d).join(heavy.select(*_KEY, F.lit(True).alias("_cut")), _KEY, "left")
-    marked = marked.withColumn("_piece", F.when(F.col("_cut"), F.col("_own_piece")).otherwise(F.lit(-1)).cast("long")).drop("_cut", "_own_piece")
-    pieces = marked.where("_piece >= 0").groupBy(*_KEY, "_piece").agg(F.sum("_g3").alias("_w"))
-    points = groups.join(heavy.select(*_KEY), _KEY, "left_anti").select(*_KEY, F.lit(-1).cast("long").alias("_piece"), "_w", *d).union(
-        pieces.join(groups.select(*_KEY, *d), _KEY).select(*_KEY, "_piece", "_w", *d))
-    tie = F.shiftrightunsigned(F.xxhash64("_g1", "_g2", "_piece"), 64 - TIE_BITS)
+    n_pieces = F.ceil(F.col("_w") * (PIECES * n_shards / max(weight, 1))).cast("long")
+    marked = rows.drop(*d).join(heavy.select(*_KEY, n_pieces.alias("_kd_cut")), _KEY, "left")
+    marked = marked.withColumn("_kd_piece", F.when(F.col("_kd_cut").isNotNull(), F.pmod("_kd_own_piece", "_kd_cut")).otherwise(F.lit(-1)).cast("long")).drop("_kd_cut", "_kd_own_piece")
+    pieces = marked.where("_kd_piece >= 0").groupBy(*_KEY, "_kd_piece").agg(F.sum("_kd_g3").alias("_w"))
+    points = groups.join(heavy.select(*_KEY), _KEY, "left_anti").select(*_KEY, F.lit(-1).cast("long").alias("_kd_piece"), "_w", *d).union(
+        pieces.join(groups.select(*_KEY, *d), _KEY).select(*_KEY, "_kd_piece", "_w", *d))
+    tie = F.shiftrightunsigned(F.xxhash64("_kd_g1", "_kd_g2", "_kd_piece"), 64 - TIE_BITS)
     keys = []
     for k, x in enumerate(d):
         lo, hi = ranges[2 * k] or 0.0, ranges[2 * k + 1] or 0.0
         level = F.floor((F.col(x) - F.lit(lo)) / F.lit((hi - lo) or 1.0) * F.lit((1 << VALUE_BITS) - 1)).cast("long")
         keys.append(F.shiftleft(level, TIE_BITS) + tie)
-    keyed = stored(points.select(*_KEY, "_piece", "_w", F.array(*keys).alias("_keys"), F.lit(0).cast("long").alias("_node")).coalesce(files), "points")
-    placed = _grow(keyed, len(d), n_shards).select(*_KEY, "_piece", F.col("_node").cast("int").alias("_kd_shard"))
-    named = marked.join(placed, [*_KEY, "_piece"]).select(*docs.columns, F.col("_g3").alias("_kd_size"), "_kd_shard")
+    keyed = stored(points.select(*_KEY, "_kd_piece", "_w", F.array(*keys).alias("_keys"), F.lit(0).cast("long").alias("_node")).coalesce(files), "points")
+    placed = _grow(keyed, len(d), n_shards).select(*_KEY, "_kd_piece", F.col("_node").cast("int").alias("_kd_shard"))
+    named = marked.join(placed, [*_KEY, "_kd_piece"]).select(*docs.columns, F.col("_kd_g3").alias("_kd_size"), "_kd_shard")
     return named, n_shards
 
 
@@ -177,9 +178,9 @@ def numbered(assigned: DataFrame, n_shards: int) -> DataFrame:
     """``assigned`` with _kd_slot: gapless from 0 in each shard."""
     order = [c for c in ("doc_id", "_kd_size") if c in assigned.columns]
     n_buckets = max(1, assigned.count() // (n_shards * BUCKET_ROWS))
-    rows = assigned.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(n_buckets)).cast("int"))
-    counts = rows.groupBy("_kd_shard", "_bucket").agg(F.count("*").alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy("_kd_shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select("_kd_shard", "_bucket", F.coalesce(before, F.lit(0)).alias("_before"))
-    position = F.row_number().over(Window.partitionBy("_kd_shard", "_bucket").orderBy(*order))
-    return rows.join(offsets, ["_kd_shard", "_bucket"]).withColumn("_kd_slot", F.col("_before") + position - 1).drop("_bucket", "_before")
+    rows = assigned.withColumn("_kd_bucket", F.pmod(F.xxhash64(*order), F.lit(n_buckets)).cast("int"))
+    counts = rows.groupBy("_kd_shard", "_kd_bucket").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("_kd_shard").orderBy("_kd_bucket").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("_kd_shard", "_kd_bucket", F.coalesce(before, F.lit(0)).alias("_kd_before"))
+    position = F.row_number().over(Window.partitionBy("_kd_shard", "_kd_bucket").orderBy(*order))
+    return rows.join(offsets, ["_kd_shard", "_kd_bucket"]).withColumn("_kd_slot", F.col("_kd_before") + position - 1).drop("_kd_bucket", "_kd_before")

@@ -181,6 +181,21 @@ def rates(docs: DataFrame, weights: dict[str, np.ndarray], targets: dict[str, fl
     return rows.withColumn("_mix_rate", _rate(g))
 
 
+def totals(docs: DataFrame, weights: dict[str, np.ndarray], targets: dict[str, float]) -> DataFrame:
+    """(domain, wanted, reached, gap): shares of all words that the rates give each domain, beside the targets."""
+    schema = "domain STRING, wanted DOUBLE, reached DOUBLE, gap DOUBLE"
+    if not weights:
+        return docs.sparkSession.createDataFrame([], schema)
+    names = sorted(weights)
+    shared = docs.sparkSession.sparkContext.broadcast([weights[n] for n in names])
+    fields = T.StructType([docs.schema["text"], T.StructField("_mix_tokens", T.LongType()), T.StructField("_mix_posterior", T.ArrayType(T.DoubleType()))])
+    points = stored(docs.select("text").mapInArrow(partial(_posteriors, weights=shared), fields).drop("text"), "posteriors")
+    wanted = np.array([max(0.0, targets.get(n, 0.0)) for n in names])
+    wanted = wanted / wanted.sum() if wanted.sum() else np.full(len(names), 1 / len(names))
+    _, reached, gap = solve(points, wanted)
+    return docs.sparkSession.createDataFrame([(n, float(w), float(r), gap) for n, w, r in zip(names, wanted, reached)], schema)
+
+
 def mix(docs: DataFrame, weights: dict[str, np.ndarray], targets: dict[str, float]) -> DataFrame:
     """``docs`` with each row as often as its rate says: the whole part, and one more by a hash of its text."""
     rated = rates(docs, weights, targets)

@@ -81,6 +81,29 @@ def test_a_hot_text_is_divided_and_targets_give_shard_counts(spark):
     assert size.max() < 1.6 * size.mean()
 
 
+def test_many_shards_of_a_hot_text_are_even(spark):
+    rows = [(k, "the same text for all of these rows" if k < 6000 else prose(k, 6)) for k in range(10_000)]
+    docs = spark.createDataFrame([(i, t, "en", "s", "mine", 3, "x", 4) for i, t in rows], "doc_id BIGINT, text STRING, lang STRING, source STRING, _g1 STRING, _bucket INT, _piece STRING, _own_piece INT")
+    assigned, n = kdtree.assign(docs, n_shards=256)
+    placed = kdtree.numbered(assigned, n)
+    assert set(docs.columns) <= set(placed.columns) and placed.where("_g1 <> 'mine' OR _bucket <> 3 OR _piece <> 'x' OR _own_piece <> 4").count() == 0
+    sizes = [r.n for r in placed.groupBy("_kd_shard").agg(F.sum("_kd_size").alias("n")).collect()]
+    assert len(sizes) == 256 and max(sizes) < 1.25 * sum(sizes) / 256
+
+
+def test_reached_totals_stand_beside_the_targets(spark):
+    texts, ratings = graded(spark, 60)
+    weights = mixing.fit(table(spark, texts), ratings.selectExpr("doc_id", "concat('d', rating) as domain"))
+    targets = {"d1": 2.0, "d2": 3.0, "d3": 5.0}
+    got = {r.domain: r for r in mixing.totals(table(spark, texts), weights, targets).collect()}
+    assert {d: round(r.wanted, 9) for d, r in got.items()} == {"d1": 0.2, "d2": 0.3, "d3": 0.5}
+    rows = mixing.rates(table(spark, texts), weights, targets).collect()
+    n = sum(x._mix_tokens for x in rows)
+    for d, row in enumerate(got[name] for name in sorted(got)):
+        assert row.reached == pytest.approx(sum(x._mix_tokens * x._mix_rate * x._mix_posterior[d] for x in rows) / n) and row.gap <= mixing.GAP
+    assert mixing.totals(table(spark, texts), {}, targets).count() == 0
+
+
 def test_shards_of_awkward_tables(spark):
     got, _ = shard_table(spark, AWKWARD, n_shards=3)
     assert len(got) == len(AWKWARD) and got._kd_shard.between(0, 2).all()
