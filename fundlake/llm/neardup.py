@@ -41,6 +41,7 @@ BAND_ROWS = 4
 LEAST_AGREEING = 163  # of N_HASHES: 0.637
 BLOCK_ROWS = 256
 BLOCK_BYTES = 4 << 20
+SALTS = 64
 _RNG = np.random.default_rng(7)
 _MULTIPLY = _RNG.integers(1, 1 << 63, N_HASHES, dtype=np.uint64) | np.uint64(1)
 _ADD = _RNG.integers(0, 1 << 63, N_HASHES, dtype=np.uint64)
@@ -211,14 +212,19 @@ def _between_components(members: DataFrame, sets: DataFrame, known: DataFrame) -
     rows = stored(named.join(open_bands, "band"), "open_buckets")
     sizes = sets.select("leader", (F.size("shingles") * 8 + N_HASHES).cast("long").alias("bytes"))
     homes = rows.groupBy("leader", "component").agg(F.min("centre").alias("home")).join(sizes, "leader")
-    crowd = homes.groupBy("home", "component").agg(F.count("*").alias("n"))
-    pooled = homes.join(crowd, ["home", "component"]).withColumn("pool", F.when(F.col("n") >= BLOCK_ROWS // 2, F.col("component")).otherwise(F.lit(-1)))
+    # A third of all classes may have one home: what is joined to its rows comes SALTS times, and a row asks for one of them.
+    salt, salts = F.pmod(F.xxhash64("leader"), F.lit(SALTS)).alias("salt"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
+    crowd = homes.groupBy("home", "component").agg(F.count("*").alias("n")).where(F.col("n") >= BLOCK_ROWS // 2)
+    crowd = crowd.select("home", "component", F.col("component").alias("own_pool"), salts)
+    pooled = homes.select("*", salt).join(crowd, ["home", "component", "salt"], "left").withColumn("pool", F.coalesce("own_pool", F.lit(-1)))
     load = pooled.groupBy("home", "pool").agg(
-        F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("bytes") / BLOCK_BYTES)).alias("parts"))
-    spread = F.pmod(F.xxhash64("leader"), "parts")
+        F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("bytes") / BLOCK_BYTES)).alias("n_parts")).where("n_parts > 1")
+    load = load.select("home", "pool", "n_parts", salts)
+    pooled = pooled.join(load, ["home", "pool", "salt"], "left").withColumn("parts", F.coalesce("n_parts", F.lit(1)))
+    spread = F.pmod(F.xxhash64("leader", F.lit("part")), "parts")
     # The block's own name; pure is its component where all its members share one.
     placed = stored(
-        pooled.join(load, ["home", "pool"]).select("leader", "component", F.xxhash64("home", "pool", spread).alias("block"),
+        pooled.select("leader", "component", F.xxhash64("home", "pool", spread).alias("block"),
                                                    F.when(F.col("pool") != -1, F.col("pool")).alias("pure")), "blocks")
     seen = rows.select("band", "leader").join(placed.select("leader", "block", "pure"), "leader").select("band", "block", "pure").distinct()
     other = seen.select("band", F.col("block").alias("block2"), F.col("pure").alias("pure2"))
