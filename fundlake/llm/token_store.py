@@ -49,6 +49,8 @@ from fundlake.session import scratch_path
 
 MAGIC, VERSION = b"FLTOKEN1", 1
 SHARD_ROWS, SHARD_IDS = 8000, 1 << 23
+#: Tasks that read shards back, at most; more shards share them.
+MOST_READERS = 20_000
 GAMMA = 2.0
 SAFE_POINTS = 0x3000
 CACHED_PIECES = 1 << 19
@@ -312,7 +314,7 @@ class Shard:
         return self._read(self.keys_at, "<i8", self.n_documents)
 
 
-def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, end_id: int) -> Iterator[pa.RecordBatch]:
+def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, end_id: int, shard_rows: int) -> Iterator[pa.RecordBatch]:
     """Writes the rows of a task as shards of bounded size; yields a manifest row for each."""
     encoder = _encoder(tokenizer)
     id_bytes = 2 if max(encoder.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
@@ -340,13 +342,15 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, end_i
                 keys.append(key)
                 encoded.append(np.append(ids, np.uint32(end_id)).astype(f"u{id_bytes}"))
                 n_ids += len(encoded[-1])
-                if len(keys) >= SHARD_ROWS or n_ids >= SHARD_IDS:
+                if len(keys) >= shard_rows or n_ids >= SHARD_IDS:
                     yield flush()
     if keys:
         yield flush()
 
 
-def write(docs: DataFrame, key: str, text: str, tokenizer: str, end_id: int, folder: str | None = None) -> tuple[DataFrame, str]:
+def write(
+    docs: DataFrame, key: str, text: str, tokenizer: str, end_id: int, folder: str | None = None, shard_rows: int = SHARD_ROWS,
+) -> tuple[DataFrame, str]:
     """Encode and store ``docs``; gives the manifest (a stored table) and the URI of the shards' folder.
 
     ``tokenizer`` is a path that every executor has; ``folder`` a URI that all reach.
@@ -358,8 +362,9 @@ def write(docs: DataFrame, key: str, text: str, tokenizer: str, end_id: int, fol
     uri = system.makeQualified(path).toUri().toString()
     folder = "file://" + uri.removeprefix("file:") if uri.startswith("file:/") and not uri.startswith("file://") else uri
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).where("key is not null")
-    ordered = rows.repartitionByRange("key").sortWithinPartitions("key")
-    manifest = ordered.mapInArrow(partial(_write, folder=folder, tokenizer=tokenizer, end_id=end_id),
+    # Rows of one key go by a hash of their texts, so that a repeated task writes the same order.
+    ordered = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("key").sortWithinPartitions("key", "tie").drop("tie")
+    manifest = ordered.mapInArrow(partial(_write, folder=folder, tokenizer=tokenizer, end_id=end_id, shard_rows=shard_rows),
                                   "first_key long, last_key long, n_documents long, n_ids long, name string")
     return stored(manifest, "manifest"), folder
 
@@ -388,7 +393,9 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
     """
     order = Window.orderBy("first_key", "last_key", "name").rowsBetween(Window.unboundedPreceding, -1)
     based = manifest.select("name", F.coalesce(F.sum("n_ids").over(order), F.lit(0)).alias("base"))
-    return based.repartition(F.xxhash64("name")).mapInArrow(partial(_read, folder=folder), "key long, start long, n_tokens long, ids_crc32 long")
+    # Manifest rows are tiny, what they stand for is not: a number that is given is not reduced at run time.
+    n_tasks = max(1, min(manifest.count(), MOST_READERS))
+    return based.repartition(n_tasks, "name").mapInArrow(partial(_read, folder=folder), "key long, start long, n_tokens long, ids_crc32 long")
 
 
 def lookup(manifest: DataFrame, folder: str, keys: list[int]) -> dict[int, np.ndarray]:

@@ -137,11 +137,13 @@ def test_perfect_hash_is_minimal(n):
     assert sorted(token_store.PerfectHash.build(keys).slots(keys)) == list(range(len(keys)))
 
 
-def test_token_store_round_trip(spark, monkeypatch):
-    monkeypatch.setattr(token_store, "SHARD_ROWS", 40)
+def test_token_store_round_trip(spark):
     texts = {k * 7 - 50: prose(k, k % 30) for k in range(150)} | {5000: None, 5001: "<|endoftext|> é 🙂"}
-    manifest, folder = token_store.write(table(spark, texts), "doc_id", "text", TOKENIZER, 2)
-    got = sorted(tuple(r) for r in token_store.read(manifest, folder).collect())
+    manifest, folder = token_store.write(table(spark, texts), "doc_id", "text", TOKENIZER, 2, shard_rows=10)
+    assert manifest.count() >= 16 and max(r.n_documents for r in manifest.collect()) == 10
+    back = token_store.read(manifest, folder)
+    assert back.rdd.getNumPartitions() == manifest.count()
+    got = sorted(tuple(r) for r in back.collect())
     ids = [np.array([*x, 2], "<u4") for x in reference_ids([texts[k] or "" for k in sorted(texts)])]
     ends = np.cumsum([len(x) for x in ids])
     assert got == [(k, int(e) - len(x), len(x), zlib.crc32(x.tobytes())) for k, x, e in zip(sorted(texts), ids, ends)]
