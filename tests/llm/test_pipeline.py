@@ -54,6 +54,7 @@ def test_stages_of_an_empty_corpus(spark, tmp_path):
     spark.createDataFrame([], "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT").write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([], "doc_id BIGINT, quality INT, toxic INT").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([], "item_id BIGINT, text STRING").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame([], "conv_id BIGINT, turn BIGINT, role STRING, text STRING").write.parquet(f"{folder}/conversations.parquet")
     assert corpus_pipeline.run(spark, folder).count() == 0
     for name, query in queries.QUERIES.items():
         assert query(spark, folder).count() == 0, name
@@ -72,6 +73,8 @@ def test_queries_return_their_columns(spark, corpus):
         "op8_repeated_passages": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
         "op9_toxicity": ["doc_id", "held_out", "score", "predicted"],
         "op10_near_duplicates": ["doc_id", "n_shingles", "component_id", "kept"],
+        "op12_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
+        "op13_personal_data": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
     }
     for name, columns in wanted.items():
         got = queries.QUERIES[name](spark, folder)
