@@ -5,8 +5,9 @@ import os
 import pytest
 
 import __spark_entry__ as contract_entry
+from contract.tables import Tables
 from fundlake.operators import constraints
-from fundlake.plans import quality
+from fundlake.plans import quality, warehouse
 from tools.executed import executed_nodes
 
 FOLDER = "/root/testdata/sf0.001"
@@ -59,3 +60,24 @@ def test_all_key_rules_share_one_exchange(spark, tmp_path):
     empty = {name: table.limit(0) for name, table in tables.items()}
     assert {r.violations for r in constraints.all_violations(empty, rules).collect()} == {0}
     assert constraints.all_violations(empty, rules).count() == 9
+
+
+def test_fund_keys_and_customers_do_not_pass_the_driver(spark, tmp_path):
+    """Small compressed columns hide many rows from the planner; such tables are exchanged, not broadcast."""
+    funds = spark.range(2000).selectExpr("id AS amfi_code", "id + 1 AS fund_key")
+    nav = spark.range(5000).selectExpr("CASE WHEN id % 7 > 0 THEN id % 2100 END AS amfi_code", "DATE '2020-01-01' AS date", "CAST(id AS DOUBLE) AS nav")
+    facts = warehouse.fact_nav(nav, funds)
+    nodes = executed_nodes(facts)
+    assert nodes["BroadcastExchangeExec"] == 0 and nodes["SortMergeJoinExec"] == 1
+    assert facts.count() == nav.where("amfi_code < 2000").count()
+
+    spark.range(5).selectExpr("CAST(id AS INT) AS r_regionkey", "'R' || id AS r_name").write.parquet(f"{tmp_path}/region.parquet")
+    spark.range(25).selectExpr("CAST(id AS INT) AS n_nationkey", "'N' || id AS n_name", "CAST(id % 5 AS INT) AS n_regionkey").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.range(900).selectExpr("id AS c_custkey", "CAST(id % 25 AS INT) AS c_nationkey", "CAST(id AS DOUBLE) AS c_acctbal", "'BUILDING' AS c_mktsegment").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(3000).selectExpr(
+        "id AS o_orderkey", "id % 1000 AS o_custkey", "'F' AS o_orderstatus", "CAST(id AS DOUBLE) AS o_totalprice",
+        "TIMESTAMP '1998-01-01 00:00:00' AS o_orderdate", "'1-URGENT' AS o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
+    orders = Tables(spark, str(tmp_path)).x_orders
+    nodes = executed_nodes(orders)
+    assert nodes["SortMergeJoinExec"] == 1 and nodes["BroadcastExchangeExec"] == 2  # nations and regions, whose number is fixed
+    assert orders.count() == 2700
