@@ -1,13 +1,15 @@
 """How often queries read their sources and how often they shuffle, counted in the plans that ran."""
 
 import os
+import threading
 
 import pytest
 
 import __spark_entry__ as contract_entry
 from contract.tables import Tables
 from fundlake.operators import constraints
-from fundlake.plans import quality, warehouse
+from fundlake.plans import cleaning, quality, warehouse
+from fundlake.sources import files
 from tools.executed import executed_nodes
 
 FOLDER = "/root/testdata/sf0.001"
@@ -81,3 +83,30 @@ def test_fund_keys_and_customers_do_not_pass_the_driver(spark, tmp_path):
     nodes = executed_nodes(orders)
     assert nodes["SortMergeJoinExec"] == 1 and nodes["BroadcastExchangeExec"] == 2  # nations and regions, whose number is fixed
     assert orders.count() == 2700
+
+
+def test_all_files_are_cleaned_several_at_a_time(spark, monkeypatch):
+    """Two files must be under way at once to pass the barrier; the report keeps the order of the pipelines."""
+    barrier = threading.Barrier(2)
+
+    def one(spark, dataset, raw_folder, out_folder):
+        barrier.wait(20)
+        return spark.range(1).selectExpr(f"'{dataset}' AS dataset")
+
+    monkeypatch.setattr(cleaning, "run_one", one)
+    assert [r.dataset for r in cleaning.run_all(spark, "raw", "clean").collect()] == list(cleaning.PIPELINES)
+
+
+def test_reading_csv_parts_starts_no_python_workers(spark, tmp_path):
+    spark.range(40).selectExpr("CAST(id AS STRING) AS k").repartitionByRange(4, "k").write.option("header", True).csv(f"{tmp_path}/t.csv")
+    rows = files.read_csv(spark, f"{tmp_path}/t.csv")
+    nodes = executed_nodes(rows)
+    assert nodes["BroadcastExchangeExec"] == 1 and nodes["RDDScanExec"] == 0
+    assert len({r.ingest_seq for r in rows.collect()}) == 40
+
+
+@pytest.mark.parametrize("name", ["r_nav", "r_txn", "r_index"])
+def test_raw_tables_of_a_run_share_one_copy_of_the_orders(spark, name):
+    made = getattr(Tables(spark, FOLDER).with_stored("x_orders"), name)
+    nodes = executed_nodes(made)
+    assert nodes["FileSourceScanExec"] == (2 if name == "r_txn" else 1) and not any("Join" in kind for kind in nodes)
