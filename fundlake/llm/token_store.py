@@ -30,12 +30,14 @@ of rows with one key all are stored, and look-ups give the first; an empty table
 
 from __future__ import annotations
 
+import os
 import struct
 import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -128,6 +130,8 @@ class _Encoder:
     """Encodes batches of texts; keeps the ids of pieces it has met (CACHED_PIECES at most)."""
 
     def __init__(self, path: str):
+        # Spark runs a task a core: threads of the library would contend for these cores and hold memory of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -190,13 +194,14 @@ class _Encoder:
         unknown = np.flatnonzero(~np.isin(hashes, self.hashes, assume_unique=True))
         if not len(unknown):
             return
-        pieces = [points[s:e].tobytes().decode("utf-32-le") for s, e in zip(start[unknown], end[unknown])]
+        text = points.tobytes().decode("utf-32-le")
+        pieces = [text[s:e] for s, e in zip(start[unknown].tolist(), end[unknown].tolist())]
         new = self._library(pieces)
         at = np.searchsorted(self.hashes, hashes[unknown])
         self.slot = np.insert(self.slot, at, len(self.hashes) + np.arange(len(unknown)))
         self.hashes = np.insert(self.hashes, at, hashes[unknown])
         self.first = np.concatenate((self.first, len(self.ids) + np.cumsum([len(x) for x in new])))
-        self.ids = np.concatenate((self.ids, np.array([i for x in new for i in x], np.uint32)))
+        self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(new), np.uint32)))
 
 
 @lru_cache(1)

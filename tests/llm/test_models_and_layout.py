@@ -1,5 +1,8 @@
 import math
+import os
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -137,6 +140,19 @@ def test_perfect_hash_is_minimal(n):
     assert sorted(token_store.PerfectHash.build(keys).slots(keys)) == list(range(len(keys)))
 
 
+@pytest.mark.skipif((os.cpu_count() or 1) < 2 or not os.path.isdir("/proc/self/task"), reason="threads are not seen here")
+def test_encoding_starts_no_threads_beside_its_task():
+    """The library would start one for each of the host's cores in every Python worker."""
+    code = (
+        "import os, sys; from fundlake.llm import token_store as t; e = t._Encoder(sys.argv[1])\n"
+        "texts = [f'word{i} other{i * 7} x{i % 13}' for i in range(3000)]; before = len(os.listdir('/proc/self/task'))\n"
+        "ids = e.encode(texts); print(len(os.listdir('/proc/self/task')) - before, sum(map(len, ids)) > 9000)")
+    env = {k: v for k, v in os.environ.items() if not k.startswith(("TOKENIZERS_", "RAYON_"))}
+    ran = subprocess.run([sys.executable, "-c", code, public_tokenizers.path("byte_bpe_50k.json")], env=env, capture_output=True, text=True, timeout=120, check=True,
+                         cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+    assert ran.stdout.split() == ["0", "True"]
+
+
 def test_token_store_round_trip(spark):
     texts = {k * 7 - 50: prose(k, k % 30) for k in range(150)} | {5000: None, 5001: "<|endoftext|> é 🙂"}
     manifest, folder = token_store.write(table(spark, texts), "doc_id", "text", TOKENIZER, 2, shard_rows=10)
