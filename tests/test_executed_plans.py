@@ -10,7 +10,7 @@ from contract.tables import Tables
 from fundlake.operators import constraints
 from fundlake.plans import cleaning, quality, warehouse
 from fundlake.sources import files
-from tools.executed import executed_nodes
+from tools.executed import broadcast_rows, executed_nodes
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
@@ -110,3 +110,38 @@ def test_raw_tables_of_a_run_share_one_copy_of_the_orders(spark, name):
     made = getattr(Tables(spark, FOLDER).with_stored("x_orders"), name)
     nodes = executed_nodes(made)
     assert nodes["FileSourceScanExec"] == (2 if name == "r_txn" else 1) and not any("Join" in kind for kind in nodes)
+
+
+def test_rows_broadcast_by_the_star_and_its_transaction_queries_do_not_grow(spark, tmp_path, monkeypatch):
+    """Five times the customers, parts and orders on the same days: as many rows pass the driver as before."""
+    write_table = warehouse.write_table
+
+    def passed(size):
+        folder = f"{tmp_path}/{size}"
+        spark.range(5).selectExpr("CAST(id AS INT) AS r_regionkey", "'R' || id AS r_name").write.parquet(f"{folder}/region.parquet")
+        spark.range(25).selectExpr("CAST(id AS INT) AS n_nationkey", "'N' || id AS n_name", "CAST(id % 5 AS INT) AS n_regionkey").write.parquet(f"{folder}/nation.parquet")
+        spark.range(200 * size).selectExpr("id AS c_custkey", "CAST(id % 25 AS INT) AS c_nationkey", "CAST(id AS DOUBLE) AS c_acctbal", "'BUILDING' AS c_mktsegment").write.parquet(f"{folder}/customer.parquet")
+        # Funds are launched on a day by their code; these share one.
+        spark.range(100 * size).selectExpr(
+            "id * 3000 AS p_partkey", "'P' || id AS p_name", "'B' AS p_brand", "'T' AS p_type", "CAST(id % 50 AS INT) AS p_size",
+            "CAST(id + 1 AS DOUBLE) AS p_retailprice").write.parquet(f"{folder}/part.parquet")
+        spark.range(3000 * size).selectExpr(
+            "id AS o_orderkey", f"id % {220 * size} AS o_custkey", "substring('FOP', CAST(id % 3 AS INT) + 1, 1) AS o_orderstatus", "CAST(id + 1 AS DOUBLE) AS o_totalprice",
+            "TIMESTAMP '1997-01-01 00:00:00' + make_dt_interval(CAST(id % 60 AS INT)) AS o_orderdate", "'1-URGENT' AS o_orderpriority").write.parquet(f"{folder}/orders.parquet")
+        rows = {}
+
+        def write(df, path):
+            rows[path.rsplit("/", 1)[1]] = broadcast_rows(df)
+            write_table(df, path)
+
+        monkeypatch.setattr(warehouse, "write_table", write)
+        facts = Tables(spark, folder).star()["fact_transactions"].count()
+        queries = contract_entry.queries()
+        for name in ("w12_fact_transactions", "qy3_sql", "k12_month_over_month", "qy10_sql"):
+            rows[name] = broadcast_rows(queries[name](spark, folder))
+        return rows, facts
+
+    (small, few), (large, many) = passed(1), passed(5)
+    assert set(small) >= {"dim_fund", "dim_date", "fact_nav", "fact_transactions", "fact_performance", "fact_aum"}
+    assert few == sum(i % 220 < 200 for i in range(3000)) and many == sum(i % 1100 < 1000 for i in range(15000))
+    assert large == small

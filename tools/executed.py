@@ -7,15 +7,12 @@ from collections import Counter
 from pyspark.sql import DataFrame
 
 
-def executed_nodes(df: DataFrame) -> Counter:
-    """Operators of the plan after the run, subqueries included; what was reused counts where it was made.
-
-    The DataFrame is run by this call.
-    """
+def _run_nodes(df: DataFrame) -> list:
+    """``(kind, node)`` of the plan after the run, subqueries included; what was reused stands where it was made."""
     plan = df._jdf.queryExecution().executedPlan()
     df._jdf.collect()
     system = df.sparkSession._jvm.java.lang.System
-    counts, seen = Counter(), set()
+    found, seen = [], set()
 
     def walk(node) -> None:
         here = system.identityHashCode(node)
@@ -25,7 +22,7 @@ def executed_nodes(df: DataFrame) -> Counter:
         kind = node.getClass().getSimpleName()
         if kind.startswith("Reused"):
             return
-        counts[kind] += 1
+        found.append((kind, node))
         inside = []
         if kind == "AdaptiveSparkPlanExec":
             inside.append(node.executedPlan())
@@ -37,4 +34,17 @@ def executed_nodes(df: DataFrame) -> Counter:
             walk(each)
 
     walk(plan)
-    return counts
+    return found
+
+
+def executed_nodes(df: DataFrame) -> Counter:
+    """Operators of the plan after the run, subqueries included; what was reused counts where it was made.
+
+    The DataFrame is run by this call.
+    """
+    return Counter(kind for kind, _ in _run_nodes(df))
+
+
+def broadcast_rows(df: DataFrame) -> int:
+    """Rows that passed the driver in broadcasts. The DataFrame is run by this call."""
+    return sum(node.metrics().apply("numOutputRows").value() for kind, node in _run_nodes(df) if kind == "BroadcastExchangeExec")
