@@ -12,7 +12,7 @@ from contract.tables import Tables
 from fundlake.plans import cleaning
 from fundlake.session import setting
 from fundlake.sources import files
-from tools.executed import executed_nodes
+from tools.executed import _run_nodes, executed_nodes
 
 
 def _shuffle_files(spark):
@@ -114,3 +114,18 @@ def test_raw_files_are_landed_compressed_and_the_widest_alone(spark, tmp_path, m
             assert sorted(map(str, landed.collect())) == sorted(map(str, wanted.collect()))
         else:
             assert landed.collect() == wanted.collect()
+
+
+def test_rows_that_are_exchanged_as_lines_are_written_as_the_same_text(spark, tmp_path):
+    odd = [None, "", " a ", 'say "x"', '"', '""', ",", "a,b", "\\", '\\"', "a\\b", "\ttab\t", "#1", "NA", "null", "\u00e9\u4e2d\U0001f600", "'", "1e3", ";", "\x01"]
+    rows = spark.createDataFrame([(len(odd) * i + j, a, b) for i, a in enumerate(odd) for j, b in enumerate(odd)], "n INT, a STRING, b STRING").repartition(3, "b")
+    rows = rows.selectExpr("n", "a", "b", "DATE '2020-01-01' + n AS d", "n / 7 AS x", "CASE WHEN n % 3 > 0 THEN n % 2 = 0 END AS f")
+    columns = ["b", "a", "d", "x", "f"]
+    lines = files.in_order(rows, columns, "n")
+    exchanges = [node for kind, node in _run_nodes(lines) if kind == "ShuffleExchangeExec" and "rangepartitioning" in node.simpleString(100)]
+    assert [node.output().size() for node in exchanges] == [2]
+    files.write_csv(rows.orderBy("n").select(*columns).coalesce(1), f"{tmp_path}/wide")
+    files.write_csv(lines.coalesce(1), f"{tmp_path}/lines")
+    (wide,), (narrow,) = (list(Path(f"{tmp_path}/{name}").glob("part-*")) for name in ("wide", "lines"))
+    assert wide.read_bytes() == narrow.read_bytes()
+    assert lines.limit(0).count() == 0 and files.in_order(rows.limit(0), columns, "n").count() == 0
